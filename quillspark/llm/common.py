@@ -95,3 +95,15 @@ def tune(spark: SparkSession) -> None:
 def key_of(column: str) -> Column:
     """A non-null string key for a nullable column, so that nulls join as one value."""
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
+
+
+def without_rows(docs: DataFrame, keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of docs that stay. keyed: docs with _id and _sha (its row key); rows: (_id, _sha, kept) for each row.
+
+    Keys of which some rows stay and others go belong to repeated rows: of these one is returned.
+    """
+    gone = stored(rows.where("not kept").select("_id", "_sha").distinct(), "gone")
+    ties = stored(gone.join(rows.where("kept"), ["_id", "_sha"], "left_semi"), "ties")
+    plain = keyed.join(small_side(gone), ["_id", "_sha"], "left_anti").select(*docs.columns)
+    again = keyed.join(small_side(ties), ["_id", "_sha"], "left_semi").groupBy("_id", "_sha").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return plain.unionByName(again.select("_row.*"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quillspark.llm import bpe, chat, exact_dedup, fingerprint, mixing, pii, quality, tokens
+from quillspark.llm import bpe, chat, exact_dedup, fingerprint, html, mixing, ngram_join, pii, quality, tokens
 
 QUERIES = {
+    "op1_html": html.op1_html,
     "op2_pii": pii.op2_pii,
     "op3_mixing": mixing.op3_mixing,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
@@ -13,6 +14,7 @@ QUERIES = {
     "op7_bpe": bpe.op7_bpe,
     "op8_fingerprints": fingerprint.op8_fingerprints,
     "op9_chat": chat.op9_chat,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 
 ORACLES = {"op3_mixing": mixing.OP3_SQL, "op4_exact_dedup": exact_dedup.OP4_SQL}
