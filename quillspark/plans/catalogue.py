@@ -1,6 +1,12 @@
-"""All queries of the reference's operators: name -> query, name -> DuckDB SQL."""
+"""All queries of the scholarly-analytics operators: name -> query, name -> DuckDB SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+import importlib
+
+from quillspark.plans.registry import ORACLES, QUERIES
+
+for _module in ("rollups",):
+    importlib.import_module(f"quillspark.plans.{_module}")
+
+__all__ = ["ORACLES", "QUERIES"]
