@@ -6,7 +6,7 @@ import importlib
 
 from quillspark.plans.registry import ORACLES, QUERIES
 
-for _module in ("rollups", "joins", "aggregates", "windows", "sets"):
+for _module in ("rollups", "joins", "aggregates", "windows", "sets", "clustering"):
     importlib.import_module(f"quillspark.plans.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]
