@@ -20,7 +20,7 @@ TURN_COST = 4
 RUN = 64
 
 #: Marks of the template. Inside texts and roles the control strings below are broken by ESC, and ESC is doubled.
-TURN, END, ESC = "<|turn|", "<|end|>", "␛"
+TURN, BODY, END, ESC = "<|turn|", "<|text|>", "<|end|>", "␛"
 #: The first character of every control string, if what follows makes it one (fixed values: marks of common chat templates).
 CONTROL = r"[<\[](?=\||/?s>|</?SYS>>|/?INST\])"
 
@@ -65,7 +65,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET) -> DataFrame:
     packed = packed.join(system, "_k", "left")
     lacks = F.col("_sys").isNotNull() & (F.element_at("_turns", 1)["_at"] > 0)
     packed = packed.withColumn("_turns", F.when(lacks, F.concat(F.array("_sys"), F.col("_turns"))).otherwise(F.col("_turns")))
-    head = lambda t: F.concat(F.lit(TURN), F.when(t["own"], F.lit("new")).otherwise(F.lit("old")), F.lit("|"), escape(t["role"]), F.lit("|>"))
+    head = lambda t: F.concat(F.lit(TURN), F.when(t["own"], F.lit("new")).otherwise(F.lit("old")), F.lit("|"), escape(t["role"]), F.lit(BODY))
     parts = F.transform("_turns", lambda t: F.struct(head(t).alias("h"), escape(t["text"]).alias("x"), (t["own"] & (t["role"] == "assistant")).alias("loss")))
     out = packed.withColumn("_parts", parts)
     spans = F.aggregate(
@@ -88,7 +88,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     The contract wants one digest of a whole conversation, so that its windows (not its turns) meet in one task.
     """
     pieces = F.filter(F.split("formatted", r"<\|end\|>"), lambda p: p.startswith(TURN + "new|"))
-    turn = lambda p: F.concat(unescape(F.regexp_extract(p, r"(?s)^<\|turn\|new\|(.*?)\|>(.*)$", 1)), F.lit("\n"), unescape(F.regexp_extract(p, r"(?s)^<\|turn\|new\|(.*?)\|>(.*)$", 2)), F.lit("\n"))
+    turn = lambda p: F.concat(unescape(F.regexp_extract(p, r"(?s)^<\|turn\|new\|(.*?)<\|text\|>(.*)$", 1)), F.lit("\n"), unescape(F.regexp_extract(p, r"(?s)^<\|turn\|new\|(.*?)<\|text\|>(.*)$", 2)), F.lit("\n"))
     loss = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
     rows = formatted.select("conv_id", "window", F.size(pieces).cast("long").alias("n"), F.concat_ws("", F.transform(pieces, turn)).alias("turns"), F.concat_ws("", loss).alias("loss"), F.length("formatted").cast("long").alias("chars"))
     whole = rows.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.sort_array(F.collect_list(F.struct("window", "turns", "loss"))).alias("_w"), F.sum("chars").alias("formatted_chars"))
