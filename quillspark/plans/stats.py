@@ -149,15 +149,18 @@ def weighted_line(spark, d):
 def platt_fit(spark, d):
     """Two-parameter logistic calibration by Newton steps over sums; only six numbers a step reach the driver."""
     t = _panel(spark, d).select(F.ln(F.col("p") / (1 - F.col("p"))).alias("z"), F.col("y").cast("double").alias("y"))
-    a, b = 0.0, 1.0
-    for _ in range(12):
+    a, b, ridge = 0.0, 0.0, 0.01
+    for _ in range(25):
         q = 1 / (1 + F.exp(-(F.lit(a) + b * F.col("z"))))
         w = q * (1 - q)
         r = t.agg(F.sum(F.col("y") - q).alias("g0"), F.sum((F.col("y") - q) * F.col("z")).alias("g1"), F.sum(w).alias("h0"), F.sum(w * F.col("z")).alias("h1"), F.sum(w * F.col("z") * F.col("z")).alias("h2")).first()
         if r["h0"] is None:
             break
-        det = r["h0"] * r["h2"] - r["h1"] ** 2 + 1e-12
-        da, db = (r["h2"] * r["g0"] - r["h1"] * r["g1"]) / det, (r["h0"] * r["g1"] - r["h1"] * r["g0"]) / det
+        # a little ridge keeps separable panels finite, and steps are cut to one: far from the optimum Newton overshoots
+        g0, g1, h0, h2 = r["g0"] - ridge * a, r["g1"] - ridge * b, r["h0"] + ridge, r["h2"] + ridge
+        det = h0 * h2 - r["h1"] ** 2
+        da, db = (h2 * g0 - r["h1"] * g1) / det, (h0 * g1 - r["h1"] * g0) / det
+        da, db = max(-1.0, min(1.0, da)), max(-1.0, min(1.0, db))
         a, b = a + da, b + db
         if abs(da) + abs(db) < 1e-10:
             break
