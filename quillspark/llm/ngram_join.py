@@ -42,12 +42,22 @@ _MUL = (_rng.integers(0, 2**31, TOKENS, dtype=np.uint32) * 2 + 1)[:, None]
 _ADD = _rng.integers(0, 2**32, TOKENS, dtype=np.uint32)[:, None]
 
 
-def shingles(text: bytes) -> np.ndarray:
-    """Distinct 32-bit hashes of the runs of five words; fewer words make one shingle, none make none."""
-    data = np.frombuffer(text, dtype=np.uint8)
+#: Bytes of words: ASCII letters and digits, and all bytes of other signs.
+_WORDY = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+
+
+def shingles(text: str) -> np.ndarray:
+    """Distinct 32-bit hashes of the runs of five words; fewer words make one shingle, none make none.
+
+    Words are runs of letters, digits and signs beyond ASCII, in lower case, so that an edit which moves a sentence's end
+    doesn't change its neighbours; a text with no such word is read as runs of signs other than white space.
+    """
+    data = np.frombuffer(text.lower().encode(), dtype=np.uint8)
     if not len(data):
         return np.zeros(0, np.uint32)
-    h = word_hashes(data, *words_of(data))
+    edge = np.diff(np.concatenate(([False], _WORDY[data], [False])).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    h = word_hashes(data, *((starts, ends) if len(starts) else words_of(data)))
     n = len(h)
     if n == 0:
         return np.zeros(0, np.uint32)
@@ -103,7 +113,7 @@ def embedded(docs: DataFrame, runs: int) -> DataFrame:
                 part = batch.slice(start, 128)
                 out = {"digest": [], "n": [], "minimum": [], "nodes": [], "shingles": []}
                 for text in part.column(2):
-                    sh = shingles(text.as_py().encode())
+                    sh = shingles(text.as_py())
                     low = minima(sh)
                     raw = sh.tobytes()
                     nodes = [c for i in range(runs) for c in children(roots[i : i + 1], low[None])[0].tolist()] if len(sh) else []
@@ -331,7 +341,7 @@ def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, dep
     """docs(doc_id, text, ...): one row each: _id, _sha (of the text), _class (root row), _head (row, doc_id of the class's
     first document), _links, _row.
 
-    Words are runs of signs other than white space, as they stand. Null texts are empty; texts without words are alone;
+    Words are those of shingles(). Null texts are empty; texts without words are alone;
     texts of fewer than five words are one shingle; equal sets (copies) are one node of the graph and count as linked.
     """
     runs = runs_for(recall)

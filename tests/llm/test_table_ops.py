@@ -210,7 +210,7 @@ def plain_join(rows):
     """Exact classes and link counts by an inverted index over true word shingles."""
     sets = []
     for _, t in rows:
-        w = WORD.findall(t or "")
+        w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (t or "").lower()) or WORD.findall(t or "")
         k = min(5, len(w))
         sets.append(frozenset(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) if w else frozenset())
     index, shared = defaultdict(list), Counter()
