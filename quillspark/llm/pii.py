@@ -90,7 +90,7 @@ FEATURES, TRAIN = 512, 20_000
 
 
 def _votes(kind: str, span: str, before: str, after: str) -> tuple[int, ...]:
-    """Of each labeler: 1 personal, 0 not, -1 abstains."""
+    """Of each labeler: 1 personal, 0 not, -1 abstains. Regex and checksum judge the form, gazetteer and context the place."""
     digits = _DIGITS.sub("", span)
     letters = [c for c in span if c.isalpha()]
     low = before.lower()
@@ -99,17 +99,19 @@ def _votes(kind: str, span: str, before: str, after: str) -> tuple[int, ...]:
         fmt = 1 if hexed and digits and letters else 1 if digits and any(c.isupper() for c in span) and any(c.islower() for c in span) else 0
         check = 1 if len(span) in (32, 40, 64) else -1
     elif kind == "number":
-        fmt = 1 if 9 <= len(digits) <= 19 else 0
-        check = 1 if 12 <= len(digits) <= 19 and luhn(digits) else 0 if len(digits) < 7 else -1
+        # the base rules take numbers that pass the card check: what is left of that length is a number that fails it
+        fmt = 0 if len(digits) >= 12 or len(digits) < 7 else 1 if len(digits) >= 9 and len(span) > len(digits) else -1
+        check = 0 if len(digits) >= 12 and not luhn(digits) or len(digits) < 7 else -1
     elif kind == "idnum":
         fmt, check = 1, 0 if span[:3] in ("000", "666") or span[4:6] == "00" else -1
     else:
         fmt, check = 1, 1 if re.search(r"[a-zA-Z]{2,}$", span) else -1
     cue = 1 if any(c in low[-24:] for c in CUES[kind]) else -1
     left, right = before[-1:], after[:1]
-    isolated = 1 if (not left or left in ' \n"\'=:(|\t') and (not right or right in ' \n"\'.,;)|\t') else 0
+    # a span inside a longer run, or one of few signs, speaks against it; the opposite says little
+    isolated = 0 if left.isalnum() or right.isalnum() else -1
     body = digits if kind != "secret" else span
-    diverse = -1 if len(body) < 8 else 1 if len(set(body)) >= 5 else 0
+    diverse = 0 if len(body) >= 7 and len(set(body)) < 4 else -1
     prose = 0 if kind == "secret" and len(letters) == len(span) else -1
     return fmt, cue, isolated, diverse, check, prose
 
@@ -172,7 +174,7 @@ def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tu
     """
     cast = votes >= 0
     share = np.where(cast.any(1), (votes == 1).sum(1) / np.maximum(1, cast.sum(1)), 0.5)
-    post = np.clip(share, 0.05, 0.95)
+    post = np.clip(share, 0.05, 0.95)  # no vote at all starts at one half
     prior, one = 0.5, np.empty((2, votes.shape[1]))
     for _ in range(rounds):
         prior = float((counts * post).sum() + 1) / float(counts.sum() + 2)
