@@ -171,6 +171,8 @@ def verified(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE,
     kept = several.where("_id = _keep").select("_id", "_digest")
     # the bytes of the rows that stay, one a digest: of rows with one id and several texts, the smallest text
     keeper = text.join(small_side(kept), ["_id", "_digest"], "left_semi").groupBy("_digest").agg(F.min("_text").alias("_kept_text"))
+    # written, so that both sides of the next join are plain exchanges, of which a hot digest's can be split
+    keeper = stored(keeper, "lsmkeeper")
     member = text.join(small_side(several), ["_id", "_digest"])
     same = F.col("_text").eqNullSafe(F.col("_kept_text"))
     checked = member.join(keeper, "_digest", "left").select("_id", "_digest", same.alias("_same"))
