@@ -205,14 +205,15 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         if not was[0]:
             break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # smallest neighbours are written, so that both sides of the join are plain exchanges, of which a hub's can be split
+        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cclow")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = stored(large, "ccl")
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        low2 = stored(large.groupBy("u").agg(F.min("v").alias("m")), "cclow")
         small = large.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select("u", F.col("m").alias("v"))).where("u <> v")
         new = stored(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
-        drop_stored(large)
-        drop_stored(now)
+        for t in (large, now, low, low2):
+            drop_stored(t)
         now, seen = new, seal(new)
         if seen == was:
             break
