@@ -163,3 +163,24 @@ def test_streaming_state(spark, tmp_path):
     out = jobs.drained(jobs.failure_states(jobs.source(spark, f"{tmp_path}/in", pattern="*.parquet")), f"{tmp_path}/q")
     last = {r["user_id"]: (r["failures"], r["quarantined"]) for r in files.latest(out, ["user_id"], "last_ts").collect()}
     assert last == {7: (3, True), 8: (0, False)}
+
+
+def test_diverse_selection(spark):
+    from quillspark.operators.selection import diverse, penalised
+
+    pool = spark.createDataFrame([("a", "p", 9.0), ("b", "p", 8.0), ("c", "q", 7.0), ("d", "r", 6.0), ("e", "r", 6.0)], "id string, parent string, score double")
+    clones = spark.createDataFrame([("a", "c"), ("b", "e")], "a string, b string")
+    got = [(r["id"], r["how"]) for r in diverse(pool, clones, 3, 4).orderBy("place").collect()]
+    assert got == [("a", "distinct"), ("d", "distinct"), ("b", "fill"), ("c", "fill")]
+    assert [r["id"] for r in diverse(pool, clones, 1, 1).collect()] == ["a"]
+    rich = spark.createDataFrame([("a", 1, 10.0), ("b", 1, 9.9), ("c", 2, 9.5), ("d", 2, 1.0)], "id string, scholar int, score double")
+    assert [r["id"] for r in penalised(rich, 3, 0.08).orderBy("place").collect()] == ["a", "c", "b"]
+
+
+def test_cliques_and_claims(spark):
+    e = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "c"), ("c", "d")], "a string, b string")
+    got = {(r["clique"], r["member"]) for r in overlap.cliques(e, overlap.components(e)).collect()}
+    assert got == {("a", "a"), ("a", "b"), ("a", "c")}
+    c = spark.createDataFrame([("t", "x", "p", 0.9, 0.0), ("t", "y", "p", 0.8, 0.0), ("t", "y", "q", 0.1, 0.9), ("t", "z", "r", 0.3, 0.8), ("t", "w", "s", 0.3, 0.1)], "topic string, slug string, prior string, overlap double, text_sim double")
+    got = {r["slug"]: (r["prior"], r["how"], r["split_from"]) for r in overlap.claims(c, "topic", 0.5, 0.2).collect()}
+    assert got == {"x": ("p", "overlap", None), "y": (None, "mint", "p"), "z": ("r", "label", None), "w": (None, "mint", None)}
