@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import text as T
 from quillspark.functions.grants import stage_appeal
 from quillspark.functions.scores import logit, noisy_or, sigmoid, soft_gate
+from quillspark.operators.blocks import small
 from quillspark.operators.ranking import top_k
 from quillspark.operators.selection import diverse, penalised
 from quillspark.plans.registry import query
@@ -86,9 +87,9 @@ def title_fallback(spark, d):
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"))
     lens = q.select("k", F.explode(F.sequence(F.lit(8), F.lit(12))).alias("n")).where("length(k) > n").groupBy("n").agg(F.min("k").alias("mk"))
     top = q.agg(F.substring(F.max("k"), 1, 4).alias("part"))
-    w = nation.withColumn("n", (F.col("id") % 5 + 8).cast("int")).join(F.broadcast(lens), "n", "left").join(F.broadcast(top)).select("id", F.when(F.col("id") % 2 == 0, F.col("mk")).otherwise(F.col("part")).alias("wk"))
+    w = nation.withColumn("n", (F.col("id") % 5 + 8).cast("int")).join(small(lens), "n", "left").join(F.broadcast(top)).select("id", F.when(F.col("id") % 2 == 0, F.col("mk")).otherwise(F.col("part")).alias("wk"))
     e = w.join(q.groupBy("k").agg(F.min("t").alias("t")), F.col("wk") == F.col("k"), "left").select("id", "wk", "t")
-    c = q.join(F.broadcast(e.where("t is null").drop("t")), F.col("k").contains(F.col("wk")) | F.col("wk").contains(F.col("k"))).groupBy("id").agg(F.min("t").alias("ct"))
+    c = q.join(small(e.where("t is null").drop("t")), F.col("k").contains(F.col("wk")) | F.col("wk").contains(F.col("k"))).groupBy("id").agg(F.min("t").alias("ct"))
     return e.join(c, "id", "left").select("id", F.coalesce("t", "ct").alias("title"), F.when(F.col("t").isNotNull(), "exact").when(F.col("ct").isNotNull(), "contains").otherwise("none").alias("how"))
 
 

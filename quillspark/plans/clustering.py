@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import norm_name, surface_keys, title_tokens
+from quillspark.operators.blocks import against
 from quillspark.operators.overlap import best_by, claims, cliques, components, cosine, jaccard, min_card, pair_counts
 from quillspark.operators.ranking import top_k
 from quillspark.plans.registry import query
@@ -74,8 +75,12 @@ def nearest_match(spark, d):
     """The nearest vector to each vector of a stated query set, above a threshold, ties by id."""
     v = _vectors(spark, d)
     q = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("qe"))
-    p = v.join(F.broadcast(q), F.col("vec_id") != F.col("query")).select("query", F.col("vec_id").alias("match"), cosine(F.col("qe"), F.col("embedding")).alias("sim")).where("sim >= 0.1")
-    best = p.groupBy("query").agg(F.max(F.struct(F.round("sim", 8).alias("s"), (-F.col("match")).alias("m"))).alias("b"))
+
+    def nearest(pairs):
+        p = pairs.select("query", F.col("vec_id").alias("match"), cosine(F.col("qe"), F.col("embedding")).alias("sim")).where("sim >= 0.1")
+        return p.groupBy("query").agg(F.max(F.struct(F.round("sim", 8).alias("s"), (-F.col("match")).alias("m"))).alias("b"))
+
+    best = against(v, q, "query", F.col("vec_id") != F.col("query"), nearest)
     return best.select("query", (-F.col("b.m")).alias("match"), F.round("b.s", 5).alias("sim"))
 
 

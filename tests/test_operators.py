@@ -184,3 +184,13 @@ def test_cliques_and_claims(spark):
     c = spark.createDataFrame([("t", "x", "p", 0.9, 0.0), ("t", "y", "p", 0.8, 0.0), ("t", "y", "q", 0.1, 0.9), ("t", "z", "r", 0.3, 0.8), ("t", "w", "s", 0.3, 0.1)], "topic string, slug string, prior string, overlap double, text_sim double")
     got = {r["slug"]: (r["prior"], r["how"], r["split_from"]) for r in overlap.claims(c, "topic", 0.5, 0.2).collect()}
     assert got == {"x": ("p", "overlap", None), "y": (None, "mint", "p"), "z": ("r", "label", None), "w": (None, "mint", None)}
+
+
+def test_queries_in_blocks(spark):
+    from quillspark.operators.blocks import against
+
+    rows, queries = spark.range(50).withColumnRenamed("id", "r"), spark.range(17).withColumnRenamed("id", "q")
+    fold = lambda df: df.groupBy("q").agg(F.count("*").alias("n"))
+    want = {q: sum(r % 17 == q for r in range(50)) for q in range(17)}
+    for block in (3, 100):
+        assert {r["q"]: r["n"] for r in against(rows, queries, "q", F.col("r") % 17 == F.col("q"), fold, block).collect()} == want
