@@ -172,7 +172,7 @@ def _sorted(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def loose_edges(met: DataFrame, runs: int) -> DataFrame:
+def loose_edges(met: DataFrame) -> DataFrame:
     """met(node, row, minimum): stars (row, root) of the loose groups in each node."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
@@ -226,7 +226,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> DataFrame:
     """reps(row, minimum, nodes) -> (node, row): nodes of at least two and at most about node_limit sets."""
     level = stored(reps.select("row", F.explode("nodes").alias("node")), "level")
-    parts, spare = [], [level]
+    parts = []
     low = reps.select("row", "minimum")
     parents = None
     for d in range(depth + 1):
@@ -246,7 +246,6 @@ def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> Dat
         level = stored(_split(again), "level")
         drop_stored(again)
         parents = True
-        spare.append(level)
         if not level.limit(1).count():
             break
     out = parts[0]
@@ -338,9 +337,9 @@ def exact_links(blocks: DataFrame) -> DataFrame:
     return blocks.mapInArrow(work, "row long, links long, root long")
 
 
-def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, depth: int = DEPTH, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """docs(doc_id, text, ...): one row each: _id, _sha (of the text), _class (root row), _head (row, doc_id of the class's
-    first document), _links, _row.
+def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, depth: int = DEPTH, block_sets: int = BLOCK_SETS) -> tuple[DataFrame, DataFrame]:
+    """docs(doc_id, text, ...): the stored table of sets, and one row for each of docs: row, _id, _class (smallest id of the
+    class), kept (first row of the class), _links, _size.
 
     Words are those of shingles(). Null texts are empty; texts without words are alone;
     texts of fewer than five words are one shingle; equal sets (copies) are one node of the graph and count as linked.
@@ -354,7 +353,7 @@ def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, dep
     later = stored(owned.where("row <> rep").select("row"), "later")
     reps = stored(table.where("n > 0").select("row", "minimum", "nodes").join(small_side(later), "row", "left_anti"), "reps")
     met = met_sets(reps, node_limit, depth)
-    edges = loose_edges(met.join(reps.select("row", "minimum"), "row"), runs)
+    edges = loose_edges(met.join(reps.select("row", "minimum"), "row"))
     loose = components(edges)
     member = loose.select(F.col("node").alias("row"), F.col("root").alias("comp")).unionByName(loose.select(F.col("root").alias("row"), F.col("root").alias("comp")).distinct())
     member = stored(member, "member")
@@ -375,6 +374,8 @@ def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, dep
     drop_stored(partial)
     joined = owned.join(small_side(answer), "rep", "left").select("row", "doc_id", F.coalesce("root", "rep").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     joined = stored(joined, "joined")
+    for t in (firsts, owned, later, answer, member):
+        drop_stored(t)
     several = joined.where("links > 0")  # a class of one row has no links
     heads = stored(several.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("head"), F.count("*").alias("size")), "heads")
     out = joined.join(small_side(heads), "root", "left")
