@@ -6,7 +6,7 @@ import importlib
 
 from quillspark.plans.registry import ORACLES, QUERIES
 
-for _module in ("rollups", "joins", "aggregates", "windows", "sets", "clustering", "texts", "evidence", "stats", "gates", "artifacts", "streams", "choices"):
+for _module in ("rollups", "joins", "aggregates", "windows", "sets", "clustering", "texts", "evidence", "stats", "gates", "artifacts", "streams", "choices", "details"):
     importlib.import_module(f"quillspark.plans.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]
