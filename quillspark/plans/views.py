@@ -28,9 +28,12 @@ PUB = """pub AS (
 
 
 def lines(spark: SparkSession, d: str) -> DataFrame:
-    """One line a (publication, line number): of repeated keys the smallest row, by a partial aggregation."""
+    """One line a (publication, line number): of repeated keys the smallest row.
+
+    Dealt by publication, so that one exchange and one sort serve the aggregation and a later join with publications.
+    """
     pick = ["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_returnflag", "l_linestatus", "l_discount"]
-    one = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct(*pick)).alias("r"))
+    one = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *pick).repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct(*pick)).alias("r"))
     return one.select("l_orderkey", "l_linenumber", "r.*")
 
 
