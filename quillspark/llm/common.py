@@ -97,13 +97,26 @@ def key_of(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
 
 
-def without_rows(docs: DataFrame, keyed: DataFrame, rows: DataFrame) -> DataFrame:
-    """The rows of docs that stay. keyed: docs with _id and _sha (its row key); rows: (_id, _sha, kept) for each row.
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of docs whole, as a struct _doc, beside computed columns: whatever the names of docs, none clashes."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *[c.alias(name) for name, c in columns.items()])
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name like `name` that docs doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without_rows(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The documents that stay. keyed: (_doc, _id, _sha) of packed(), with a row key; rows: (_id, _sha, kept) for each row.
 
     Keys of which some rows stay and others go belong to repeated rows: of these one is returned.
     """
     gone = stored(rows.where("not kept").select("_id", "_sha").distinct(), "gone")
     ties = stored(gone.join(rows.where("kept"), ["_id", "_sha"], "left_semi"), "ties")
-    plain = keyed.join(small_side(gone), ["_id", "_sha"], "left_anti").select(*docs.columns)
-    again = keyed.join(small_side(ties), ["_id", "_sha"], "left_semi").groupBy("_id", "_sha").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return plain.unionByName(again.select("_row.*"))
+    plain = keyed.join(small_side(gone), ["_id", "_sha"], "left_anti").select("_doc.*")
+    again = keyed.join(small_side(ties), ["_id", "_sha"], "left_semi").groupBy("_id", "_sha").agg(F.min_by("_doc", F.to_json("_doc")).alias("_doc"))
+    return plain.unionByName(again.select("_doc.*"))

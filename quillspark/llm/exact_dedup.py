@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import SPACE, ship, small_side, stored, without_rows
+from quillspark.llm.common import SPACE, packed, ship, small_side, stored, without_rows
 
 #: Digests a memtable holds before it is flushed: about 30 MB of Python objects.
 MEMTABLE = 100_000
@@ -215,8 +215,8 @@ def _first_of_ties(rows: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with its columns: of rows equal in id and text, one."""
     rows = stored(dedup(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("text_sha256").alias("_sha"), "kept"), "lsmrows")
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_sha": F.sha2(normalised(), 256)})
-    return without_rows(docs, keyed, rows)
+    keyed = packed(docs, _id=F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), _sha=F.sha2(normalised(), 256))
+    return without_rows(keyed, rows)
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import WORD, drop_stored, key_of, small_side, stored
+from quillspark.llm.common import WORD, drop_stored, key_of, packed, small_side, stored
 
 #: Weights are dealt to the sources in code point order, null last.
 WEIGHTS = (1, 2, 3)
@@ -20,9 +20,10 @@ MAX_EPOCHS = 3
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """(_doc, _s, source, _size, _h): each row whole, with its source's key, its words and its uniform key."""
     text = F.coalesce(F.col("text"), F.lit(""))
     digest = F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)), 256)
-    return docs.withColumns({"_s": key_of("source"), "_size": F.regexp_count(text, F.lit(WORD)).cast("long"), "_h": F.substring(digest, 1, 6)})
+    return packed(docs, _s=key_of("source"), source=F.col("source").cast("string"), _size=F.regexp_count(text, F.lit(WORD)).cast("long"), _h=F.substring(digest, 1, 6))
 
 
 def source_targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -77,31 +78,39 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = MAX_E
     """docs(doc_id, text, source, ...): every row once, with size, source_size, target, copies (how often the mix takes it).
 
     Null texts have size 0; null sources are one source, last in order; rows equal in doc_id and text share a key and are
-    taken alike; an empty table gives an empty result; other columns pass through.
+    taken alike; an empty table gives an empty result; other columns pass through, but for those of the result's own names.
     """
+    out = _planned(docs, weights, epochs)
+    own = {"mix_size": F.col("_size"), "mix_source_size": F.col("_total"), "mix_target": F.col("_target"), "mix_copies": F.col("_copies")}
+    return out.select(*[F.col("_doc")[c].alias(c) for c in docs.columns if c not in own], *[v.alias(k) for k, v in own.items()])
+
+
+def _planned(docs: DataFrame, weights: tuple[int, ...], epochs: int) -> DataFrame:
+    """_keyed() with each source's plan and each row's _copies."""
     keyed = _keyed(docs)
     sizes = stored(keyed.select("_s", "source", "_size", "_h"), "mixsizes")
     cuts = stored(thresholds(sizes, weights, epochs), "mixcuts")
     drop_stored(sizes)
-    copies = F.col("_times") + F.when(F.col("_h") < F.col("_until"), 1).otherwise(0)
-    out = keyed.join(small_side(cuts), "_s", "left")
-    return out.select(*docs.columns, F.col("_size").alias("mix_size"), F.col("_total").alias("mix_source_size"), F.col("_target").alias("mix_target"), copies.cast("long").alias("mix_copies"))
+    return keyed.join(small_side(cuts), "_s", "left").withColumn("_copies", _copies())
+
+
+def _copies():
+    return (F.col("_times") + F.when(F.col("_h") < F.col("_until"), 1).otherwise(0)).cast("long")
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = MAX_EPOCHS) -> DataFrame:
     """The mix itself: each row as many times as it is taken, with the columns of docs."""
-    out = mix(docs, weights, epochs).where(F.col("mix_copies") > 0)
-    return out.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int")))).select(*docs.columns)
+    out = _planned(docs, weights, epochs).where("_copies > 0")
+    return out.select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_doc.*")
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
     """The contract's digest of mix() over all documents: computed once from a narrow table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    sizes = stored(_keyed(docs).select("doc_id", "_s", "source", "_size", "_h"), "mixsizes")
+    sizes = stored(_keyed(docs).select("_doc.doc_id", "_s", "source", "_size", "_h"), "mixsizes")
     cuts = stored(thresholds(sizes), "mixcuts")
-    copies = F.col("_times") + F.when(F.col("_h") < F.col("_until"), 1).otherwise(0)
-    out = sizes.join(small_side(cuts), "_s", "left")
-    return out.select("doc_id", F.col("_size").alias("size"), F.col("_total").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * copies).cast("long").alias("taken"))
+    out = sizes.join(small_side(cuts), "_s", "left").withColumn("_copies", _copies())
+    return out.select("doc_id", F.col("_size").alias("size"), F.col("_total").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
 OP3_SQL = r"""

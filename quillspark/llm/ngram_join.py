@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import drop_stored, ship, small_side, stored, tune, without_rows
+from quillspark.llm.common import drop_stored, packed, ship, small_side, stored, tune, without_rows
 from quillspark.llm.fingerprint import _mix, word_hashes, words_of
 
 WORDS, SIMILARITY = 5, 0.8
@@ -396,8 +396,8 @@ def distinct_documents(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     table, out = classes(docs, recall)
     rows = stored(out.select("row", "_id", "kept").join(table.select("row", F.lower(F.hex("sha")).alias("_sha")), "row").select("_id", "_sha", "kept"), "nearrows")
     drop_stored(table)
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_sha": F.sha2(F.coalesce("text", F.lit("")), 256)})
-    return without_rows(docs, keyed, rows)
+    keyed = packed(docs, _id=F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), _sha=F.sha2(F.coalesce("text", F.lit("")), 256))
+    return without_rows(keyed, rows)
 
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:

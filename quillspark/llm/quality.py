@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import ship, stored, tune
+from quillspark.llm.common import ship, stored, tune, unused
 
 #: Word-shape buckets of the scorer, and documents it is trained on at most (those with the smallest digests).
 BUCKETS, TRAIN = 1024, 6000
@@ -191,8 +191,8 @@ def fit(docs: DataFrame, sample: int = TRAIN) -> dict:
     return {"weights": w, "prior": prior, "accuracy": {n: good[:, j].tolist() for j, n in enumerate(LABELLERS)}}
 
 
-def scored(docs: DataFrame, model: dict) -> DataFrame:
-    """docs with p_good, the probability that a document is good. Null texts are empty texts."""
+def scored(docs: DataFrame, model: dict, name: str = "p_good") -> DataFrame:
+    """docs with a column `name`, the probability that a document is good. Null texts are empty texts."""
     ship(docs.sparkSession)
     weights = model["weights"]
 
@@ -204,15 +204,22 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
             out.append(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))))
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
-    return docs.withColumn("p_good", score(F.coalesce("text", F.lit(""))))
+    return docs.withColumn(name, score(F.coalesce("text", F.lit(""))))
 
 
 def classify(docs: DataFrame, sample: int = TRAIN, threshold: float = THRESHOLD) -> DataFrame:
     """docs with p_good and good. Fitted on all documents' votes; empty texts get what the scorer says of them; ties at the
-    threshold are good; repeated rows are scored each; an empty table stays empty; other columns pass through."""
+    threshold are good; repeated rows are scored each; an empty table stays empty; other columns pass
+    through, but for those of the result's own names."""
     return scored(docs, fit(docs, sample)).withColumn("good", F.col("p_good") >= threshold)
 
 
+def good_documents(docs: DataFrame, sample: int = TRAIN, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that the scorer finds good, with the columns of docs, whatever their names."""
+    name = unused(docs, "p_good")
+    return scored(docs, fit(docs, sample), name).where(F.col(name) >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op5_quality(spark, sf_dir: str) -> DataFrame:
     """Every document with its probability and decision."""
     tune(spark)

@@ -56,3 +56,17 @@ def test_stages_bear_odd_rows(spark, odd):
         for name, stage in corpus_pipeline.STAGES:
             now = stored(stage(spark, now, ""), re.sub("[^a-z]", "", name))
         assert now.count() >= 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    names = ("_id", "_sha", "_s", "_size", "_h", "_doc", "_row", "row", "kept", "mix_copies", "mix_size", "p_good", "good", "digest", "source_", "n")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names}).withColumn("a map", F.create_map(F.lit("k"), F.col("doc_id")))
+    docs = docs.unionByName(docs.limit(3))
+    want = {r["doc_id"]: r for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r == want[r["doc_id"]] for r in rows)
