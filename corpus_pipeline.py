@@ -15,7 +15,7 @@ from quillspark.llm.common import stored, tune
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on this stage's documents, finds good."""
     tune(spark)
-    return quality.classify(docs).where("good").select(*docs.columns)
+    return quality.good_documents(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
