@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from quillspark.functions.scores import article_score
@@ -12,15 +9,7 @@ from quillspark.plans.registry import query
 from quillspark.plans.rollups import AS
 from quillspark.plans.views import ACT, EV, activities, event_rows, with_sql
 from quillspark.sources import files, sinks
-
-
-def scratch(spark) -> str:
-    """A fresh folder in the shared checkpoint folder; a local one where none is set (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="quill-out-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/quill-{uuid.uuid4().hex}"
+from quillspark.sources.shared import scratch
 
 
 def _totals(spark, d):

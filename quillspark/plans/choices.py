@@ -147,6 +147,7 @@ def sponsor_and_code(spark, d):
     return _opps(spark, d).select("id", F.when((F.col("agency") != "") & ~contact, F.col("agency")).otherwise(F.col("parent")).alias("sponsor"), F.regexp_extract("number", r"\b([A-Z]\d{2}|[A-Z]{2}\d)\b", 1).alias("code"))
 
 
+#: Words of honours, of recognitions, and of awards that one applies for (fixed values).
 HON = r"\b(prizes?|prix|medals?|lectureships?|laureate)\b"
 REC = r"\b(designation|named (chair|professorship)|endowed (chair|professorship)|election to|elected to|hall of fame)\b"
 APP = r"\b(fellowships?|scholarships?|travel|pilot|seed|career[ -]development|seminar|residency|internship|traineeship|sabbatical)\b"

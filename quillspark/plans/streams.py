@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillspark.plans.artifacts import scratch
 from quillspark.plans.registry import query
 from quillspark.plans.views import EV, event_rows, with_sql
 from quillspark.sources import files
+from quillspark.sources.shared import scratch
 from quillspark.streaming import jobs
 
 
