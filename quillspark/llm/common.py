@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.sources.shared import shared_dir
+
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,15 +23,6 @@ BROADCAST_ROWS = 200_000
 _written: list[tuple[SparkSession, str]] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh local one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="quill-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def stored(df: DataFrame, label: str = "t") -> DataFrame:
     """Cuts the lineage: writes df as Parquet in the shared folder and reads it back.
 
