@@ -79,6 +79,30 @@ def test_bpe_any_text(text):
     assert c.decode(ids) == text.encode()
 
 
+def test_bpe_memo_and_batches_change_nothing():
+    import tiktoken
+
+    data = open(RANKS, "rb").read()
+    small = bpe.Codec(data, P.PATTERN, memo=7)
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=small.ranks, special_tokens={})
+    rng = np.random.default_rng(0)
+    texts = ["".join(rng.choice(list("aabenrstthe  ,.é漢"), int(rng.integers(0, 200)))) for _ in range(60)] + ["x" * 127, "ab" * 64, "q" * 129, "zq" * 500, ""]
+    for part in (texts, texts[::-1], texts[:3], texts):
+        got = small.encode_batch(part)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [lib.encode_ordinary(t) for t in part]
+        assert len(small.memo) <= max(7, len({m for t in part for m in small.find(t)}))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=40), min_size=1, max_size=20))
+def test_rows_of_trees_are_single_trees(pieces):
+    c = bpe.codec(open(RANKS, "rb").read(), P.PATTERN)
+    rows = bpe.encode_pieces(pieces, c.pairs)
+    for piece, row in zip(pieces, rows, strict=True):
+        assert np.frombuffer(row, "<u4").tolist() == bpe.encode_piece(piece, c.ranks) or piece in c.ranks
+        assert b"".join(c.table[t] for t in np.frombuffer(row, "<u4").tolist()) == piece
+
+
 def test_bpe_of_nothing(empty):
     assert bpe.encoded(empty, RANKS, P.PATTERN).count() == 0
 
