@@ -159,12 +159,12 @@ def taxonomy_hash(spark, d):
 
 
 @query(with_sql(ACT, PUB) + """
-, m AS (SELECT a.topic, p.status, count(*) AS n, count(DISTINCT a.pmid) AS pubs, round(avg(a.score), 6) AS mean FROM act a JOIN pub p ON a.pmid = p.pmid GROUP BY 1, 2)
-SELECT topic, status, n, pubs, mean, round(n / sum(n) OVER (PARTITION BY topic), 6) AS share FROM m""")
+, m AS (SELECT a.topic, p.status, count(*) AS n, count(DISTINCT a.pmid) AS pubs, CAST(sum(CAST(round(a.score * 10) AS INTEGER)) AS DOUBLE) / (10 * count(*)) AS mean FROM act a JOIN pub p ON a.pmid = p.pmid GROUP BY 1, 2)
+SELECT topic, status, n, pubs, mean, n / CAST(sum(n) OVER (PARTITION BY topic) AS DOUBLE) AS share FROM m""")
 def record_summary(spark, d):
-    """Records by topic and status, with shares."""
+    """Records by topic and status, with shares: quotients of whole numbers, which any engine divides alike."""
     from pyspark.sql import Window
 
     p = publications(spark, d).select("pmid", "status")
-    m = activities(spark, d).join(p, "pmid").groupBy("topic", "status").agg(F.count("*").alias("n"), F.countDistinct("pmid").alias("pubs"), F.round(F.avg("score"), 6).alias("mean"))
-    return m.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("topic")), 6))
+    m = activities(spark, d).join(p, "pmid").groupBy("topic", "status").agg(F.count("*").alias("n"), F.countDistinct("pmid").alias("pubs"), (F.sum(F.round(F.col("score") * 10).cast("int")).cast("double") / (10 * F.count("*"))).alias("mean"))
+    return m.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("topic")).cast("double"))
