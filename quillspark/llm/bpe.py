@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import ship, tune
 
 #: Distinct matches of a generation of a worker's memo. A full generation becomes the old one, of which what is used again is
-#: kept: at most two generations, about 250 MB, are remembered.
-MEMO = 500_000
+#: kept: at most two generations, about 120 MB, are remembered.
+MEMO = 250_000
 #: Longer matches are encoded each time: they rarely repeat and would fill the memo.
 MEMO_CHARS = 64
 
@@ -234,7 +234,7 @@ def codec(data: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def _portions(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _portions(batches: Iterator[pa.RecordBatch], size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of batches with about `size` bytes of text: what is held at once doesn't depend on rows or lengths."""
     for batch in batches:
         lengths = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)) if batch.num_rows else []
