@@ -41,10 +41,10 @@ def _rates(spark, d):
     return pair.join(own, ["person", "core", "pmid"], "left").select("pmid", "person", "core", F.when(k <= 0, F.lit(0.0)).otherwise(F.least((k + STRENGTH * F.col("p0")) / (F.col("total") + STRENGTH), F.lit(1.0))).alias("rate"))
 
 
-@query(with_sql(ACT) + AFF + "SELECT pmid, person, core, round(rate, 6) AS rate FROM rate WHERE pmid % 10 = 3 AND rate > 0.01")
+@query(with_sql(ACT) + AFF + "SELECT pmid, person, core, round(rate, 6) AS rate FROM rate")
 def affinity_rate(spark, d):
-    """Repeat-user rates of the authors of every tenth paper's ending (the query's own cut of a report)."""
-    return _rates(spark, d).where("pmid % 10 = 3 and rate > 0.01").withColumn("rate", F.round("rate", 6))
+    """Repeat-user rates of each paper's authors, zero rates too."""
+    return _rates(spark, d).withColumn("rate", F.round("rate", 6))
 
 
 @query(with_sql(ACT) + AFF + "SELECT pmid, core, round(max(rate), 6) AS affinity FROM rate GROUP BY 1, 2 HAVING round(max(rate), 6) >= 0.03")
