@@ -123,18 +123,18 @@ def position_normal(spark, d):
 @query(with_sql(ACT) + """
 , names AS (SELECT topic, n.n_name FROM (SELECT DISTINCT topic FROM act) CROSS JOIN nation n WHERE n.n_nationkey < 10),
 pairs AS (SELECT lower(topic) AS k, n_name FROM names)
-, ap AS (SELECT DISTINCT pmid, person FROM act WHERE pmid < 8000), seed AS (SELECT DISTINCT pmid FROM ap WHERE person <= 3),
+, ap AS (SELECT DISTINCT pmid, person, year FROM act), seed AS (SELECT DISTINCT pmid FROM ap WHERE person <= 3),
 co AS (SELECT ap.person, count(DISTINCT ap.pmid) AS papers FROM ap JOIN seed ON ap.pmid = seed.pmid WHERE ap.person > 3 GROUP BY 1),
-br AS (SELECT a.person, count(DISTINCT s.person) AS breadth, max(a.pmid) AS newest FROM ap a JOIN ap s ON a.pmid = s.pmid AND s.person <= 3 WHERE a.person > 3 GROUP BY 1)
-SELECT co.person, s_acctbal > 2000 AS is_staff, newest >= 6000 AS recent, breadth, papers, CAST(row_number() OVER (ORDER BY s_acctbal > 2000 DESC, newest >= 6000 DESC, breadth DESC, papers DESC, co.person) AS INTEGER) AS place
+br AS (SELECT a.person, count(DISTINCT s.person) AS breadth, max(a.year) AS newest FROM ap a JOIN ap s ON a.pmid = s.pmid AND s.person <= 3 WHERE a.person > 3 GROUP BY 1)
+SELECT co.person, s_acctbal > 2000 AS is_staff, newest >= 2000 AS recent, breadth, papers, CAST(row_number() OVER (ORDER BY s_acctbal > 2000 DESC, newest >= 2000 DESC, breadth DESC, papers DESC, co.person) AS INTEGER) AS place
 FROM co JOIN br ON co.person = br.person JOIN supplier ON co.person = s_suppkey WHERE papers >= 2""")
 def staff_suggest(spark, d):
     """Co-authors of seed people, ranked by staff, recency, breadth of seeds and shared papers."""
-    ap = activities(spark, d).where("pmid < 8000").select("pmid", "person").distinct()
+    ap = activities(spark, d).select("pmid", "person", "year").distinct()
     seed = ap.where("person <= 3").select("pmid", F.col("person").alias("seed"))
-    co = ap.where("person > 3").join(seed, "pmid").groupBy("person").agg(F.countDistinct("pmid").alias("papers"), F.countDistinct("seed").alias("breadth"), F.max("pmid").alias("newest")).where("papers >= 2")
+    co = ap.where("person > 3").join(seed, "pmid").groupBy("person").agg(F.countDistinct("pmid").alias("papers"), F.countDistinct("seed").alias("breadth"), F.max("year").alias("newest")).where("papers >= 2")
     staff = table(spark, d, "supplier").select(F.col("s_suppkey").alias("person"), (F.col("s_acctbal") > 2000).alias("is_staff"))
-    rows = co.join(staff, "person").withColumn("recent", F.col("newest") >= 6000)
+    rows = co.join(staff, "person").withColumn("recent", F.col("newest") >= 2000)
     w = Window.orderBy(F.col("is_staff").desc(), F.col("recent").desc(), F.col("breadth").desc(), F.col("papers").desc(), "person")
     return rows.select("person", "is_staff", "recent", "breadth", "papers", F.row_number().over(w).alias("place"))
 

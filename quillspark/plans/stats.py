@@ -99,12 +99,12 @@ def spearman(spark, d):
     return r.agg(F.count("*").alias("n"), F.round(F.corr("ra", "rb"), 6).alias("rho"))
 
 
-RANKED = """, g AS (SELECT pmid AS q, person, max(score) AS score, max(CASE WHEN live AND position <> 'middle' THEN 2 WHEN live THEN 1 ELSE 0 END) AS rel FROM act WHERE pmid < 6000 GROUP BY 1, 2),
+RANKED = """, g AS (SELECT pmid AS q, person, max(score) AS score, max(CASE WHEN live AND position <> 'middle' THEN 2 WHEN live THEN 1 ELSE 0 END) AS rel FROM act GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, person) AS i, row_number() OVER (PARTITION BY q ORDER BY rel DESC, person) AS j FROM g)"""
 
 
 def _ranked(spark, d):
-    a = activities(spark, d).where("pmid < 6000")
+    a = activities(spark, d)
     rel = F.max(F.when(F.col("live") & (F.col("position") != "middle"), 2).when(F.col("live"), 1).otherwise(0))
     g = a.groupBy(F.col("pmid").alias("q"), "person").agg(F.max("score").alias("score"), rel.alias("rel"))
     w = Window.partitionBy("q")

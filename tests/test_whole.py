@@ -27,3 +27,38 @@ def test_affinity_rates_of_all_papers(spark):
     got = {(r["pmid"], r["person"], r["core"]): r["rate"] for r in QUERIES["affinity_rate"](spark, SF).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - v) < 2e-6 for k, v in want.items())
     assert {k[0] % 10 for k in got} == set(range(10))
+
+
+def test_ranking_quality_of_all_papers(spark):
+    acts = activities(spark, LARGER).select("pmid", "person", "year", "score", "live", "position").collect()
+    papers = {r["pmid"] for r in acts}
+    assert max(papers) > 8000
+    assert {r["q"] for r in QUERIES["ndcg"](spark, LARGER).collect()} == papers
+    ranked = defaultdict(dict)
+    for r in acts:
+        score, rel = ranked[r["pmid"]].get(r["person"], (-1.0, 0))
+        ranked[r["pmid"]][r["person"]] = max(score, r["score"]), max(rel, 2 if r["live"] and r["position"] != "middle" else 1 if r["live"] else 0)
+    firsts, recalls = [], []
+    for people in ranked.values():
+        rels = [rel for _, _, rel in sorted((-score, person, rel) for person, (score, rel) in people.items())]
+        firsts.append(1 / (rels.index(2) + 1) if 2 in rels else 0.0)
+        if any(rels):
+            recalls.append(sum(r >= 1 for r in rels[:3]) / sum(r >= 1 for r in rels))
+    got = QUERIES["mrr_recall"](spark, LARGER).first()
+    assert got["queries"] == len(papers)
+    assert abs(got["mrr"] - sum(firsts) / len(firsts)) < 2e-6 and abs(got["recall"] - sum(recalls) / len(recalls)) < 2e-6
+
+
+def test_suggestions_from_all_papers(spark):
+    people, year = defaultdict(set), {}
+    for r in activities(spark, LARGER).select("pmid", "person", "year").collect():
+        people[r["pmid"]].add(r["person"])
+        year[r["pmid"]] = r["year"]
+    shared, seeds = defaultdict(set), defaultdict(set)
+    for pmid, who in people.items():
+        seed = {p for p in who if p <= 3}
+        for p in who - seed if seed else ():
+            shared[p].add(pmid)
+            seeds[p] |= seed
+    want = {p: (len(s), len(seeds[p]), max(year[x] for x in s) >= 2000) for p, s in shared.items() if len(s) >= 2}
+    assert {r["person"]: (r["papers"], r["breadth"], r["recent"]) for r in QUERIES["staff_suggest"](spark, LARGER).collect()} == want
