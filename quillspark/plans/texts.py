@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
+from quillspark.operators.blocks import small
 from quillspark.plans.registry import query
 from quillspark.sources.tables import table
 
@@ -166,18 +167,20 @@ def byline_parts(spark, d):
 
 
 @query("""
-WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]{4,}') AS t FROM documents WHERE lang = 'en' AND n_chars < 1500), u AS (SELECT doc_id, unnest(t) AS w FROM d),
-tf AS (SELECT doc_id, w, 1 + ln(count(*)) AS tf FROM u GROUP BY 1, 2), n AS (SELECT count(DISTINCT doc_id) AS n FROM u), df AS (SELECT w, ln((1 + n.n) / (1 + count(*))) + 1 AS idf FROM tf, n GROUP BY w, n.n HAVING count(*) >= 2),
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]{4,}') AS t FROM documents), u AS (SELECT doc_id, unnest(t) AS w FROM d),
+tf AS (SELECT doc_id, w, 1 + ln(count(*)) AS tf FROM u GROUP BY 1, 2), n AS (SELECT count(DISTINCT doc_id) AS n FROM documents), df AS (SELECT w, ln((1 + n.n) / (1 + count(*))) + 1 AS idf FROM tf, n GROUP BY w, n.n HAVING count(*) >= 2),
 x AS (SELECT doc_id, tf.w, tf * idf AS x FROM tf JOIN df ON tf.w = df.w), z AS (SELECT doc_id, sqrt(sum(x * x)) AS z FROM x GROUP BY 1)
 SELECT x.doc_id, count(*) AS terms, round(max(x.x / z), 6) AS top_weight, round(sum(x.x / z), 6) AS l1 FROM x JOIN z ON x.doc_id = z.doc_id GROUP BY 1""")
 def tfidf_vectors(spark, d):
-    """Sublinear tf, smoothed idf over words of at least two documents, unit length: summaries of the vectors."""
+    """Sublinear tf, smoothed idf over words of at least two of all documents, unit length: summaries of the vectors."""
     words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), 0))
-    u = table(spark, d, "documents").where("lang = 'en' and n_chars < 1500").select("doc_id", words.alias("w"))
+    docs = table(spark, d, "documents")
+    # texts are dealt once by document: words of a document meet without a further exchange, and so do its weights if the vocabulary is small
+    u = docs.select("doc_id", "text").repartition("doc_id").select("doc_id", words.alias("w"))
     tf = u.groupBy("doc_id", "w").agg((1 + F.ln(F.count("*"))).alias("tf"))
-    n = u.agg(F.countDistinct("doc_id").alias("n"))
+    n = docs.agg(F.countDistinct("doc_id").alias("n"))
     df = tf.groupBy("w").agg(F.count("*").alias("c")).where("c >= 2").join(F.broadcast(n)).select("w", (F.ln((1 + F.col("n")) / (1 + F.col("c"))) + 1).alias("idf"))
-    x = tf.join(df, "w").select("doc_id", (F.col("tf") * F.col("idf")).alias("x"))
+    x = tf.join(small(df), "w").select("doc_id", (F.col("tf") * F.col("idf")).alias("x"))
     z = x.groupBy("doc_id").agg(F.count("*").alias("terms"), F.max("x").alias("m"), F.sum("x").alias("s"), F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("z"))
     return z.select("doc_id", "terms", F.round(F.col("m") / F.col("z"), 6).alias("top_weight"), F.round(F.col("s") / F.col("z"), 6).alias("l1"))
 

@@ -62,3 +62,19 @@ def test_suggestions_from_all_papers(spark):
             seeds[p] |= seed
     want = {p: (len(s), len(seeds[p]), max(year[x] for x in s) >= 2000) for p, s in shared.items() if len(s) >= 2}
     assert {r["person"]: (r["papers"], r["breadth"], r["recent"]) for r in QUERIES["staff_suggest"](spark, LARGER).collect()} == want
+
+
+def test_tfidf_of_all_documents(spark, tmp_path):
+    texts = [(1, "en", "Alpha beta gamma alpha"), (2, "de", "gamma delta alpha"), (3, "fr", "delta " * 400 + "gamma"), (4, "en", "one"), (5, "es", None)]
+    spark.createDataFrame([(k, t, lang, len(t or "")) for k, lang, t in texts], "doc_id long, text string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    words = {k: Counter(re.findall("[a-z]{4,}", (t or "").lower())) for k, _, t in texts}
+    df = Counter(w for c in words.values() for w in c)
+    want = {}
+    for k, c in words.items():
+        x = [(1 + math.log(n)) * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, n in c.items() if df[w] >= 2]
+        if x:
+            z = math.sqrt(sum(v * v for v in x))
+            want[k] = len(x), max(x) / z, sum(x) / z
+    got = {r["doc_id"]: (r["terms"], r["top_weight"], r["l1"]) for r in QUERIES["tfidf_vectors"](spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() == {1, 2, 3}
+    assert all(g[0] == w[0] and abs(g[1] - w[1]) < 2e-6 and abs(g[2] - w[2]) < 2e-6 for g, w in ((got[k], want[k]) for k in want))
