@@ -59,14 +59,14 @@ def _vectors(spark, d, limit=None):
     return table(spark, d, "embeddings").select("vec_id", "label", "embedding")
 
 
-@query("WITH " + VEC + """, p AS (SELECT x.vec_id AS a, y.vec_id AS b, x.label, list_cosine_similarity(x.e, y.e) AS sim FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id)
-SELECT a, b, label, round(sim, 5) AS sim, sim >= 0.3 AS clone FROM p WHERE sim >= 0.2""")
+@query("WITH " + VEC + """, p AS (SELECT x.vec_id AS a, y.vec_id AS b, x.label AS label_a, y.label AS label_b, list_cosine_similarity(x.e, y.e) AS sim FROM v x JOIN v y ON x.vec_id < y.vec_id)
+SELECT a, b, label_a, label_b, round(sim, 5) AS sim, sim >= 0.3 AS clone FROM p WHERE sim >= 0.2""")
 def near_clones(spark, d):
-    """Pairs of alike vectors within a block, down to a tenth below the threshold. Blocks keep pairs from growing with the table's square."""
+    """Pairs of alike vectors, whatever their labels, down to a tenth below the threshold. All pairs are compared, block by block: work grows with the table's square."""
     v = _vectors(spark, d)
-    a, b = v.select(F.col("vec_id").alias("a"), "label", F.col("embedding").alias("ea")), v.select(F.col("vec_id").alias("b"), "label", F.col("embedding").alias("eb"))
-    p = a.join(b, "label").where("a < b").withColumn("sim", cosine(F.col("ea"), F.col("eb"))).where("sim >= 0.2")
-    return p.select("a", "b", "label", F.round("sim", 5).alias("sim"), (F.col("sim") >= 0.3).alias("clone"))
+    a, b = v.select(F.col("vec_id").alias("a"), F.col("label").alias("label_a"), F.col("embedding").alias("ea")), v.select(F.col("vec_id").alias("b"), F.col("label").alias("label_b"), F.col("embedding").alias("eb"))
+    p = against(b, a, "a", F.col("a") < F.col("b"), lambda pairs: pairs.withColumn("sim", cosine(F.col("ea"), F.col("eb"))).where("sim >= 0.2"))
+    return p.select("a", "b", "label_a", "label_b", F.round("sim", 5).alias("sim"), (F.col("sim") >= 0.3).alias("clone"))
 
 
 @query("WITH " + VEC + """, q AS (SELECT * FROM v WHERE vec_id % 100 = 0), p AS (SELECT q.vec_id AS query, v.vec_id AS match, list_cosine_similarity(q.e, v.e) AS sim FROM q JOIN v ON q.vec_id <> v.vec_id)

@@ -78,3 +78,15 @@ def test_tfidf_of_all_documents(spark, tmp_path):
     got = {r["doc_id"]: (r["terms"], r["top_weight"], r["l1"]) for r in QUERIES["tfidf_vectors"](spark, str(tmp_path)).collect()}
     assert got.keys() == want.keys() == {1, 2, 3}
     assert all(g[0] == w[0] and abs(g[1] - w[1]) < 2e-6 and abs(g[2] - w[2]) < 2e-6 for g, w in ((got[k], want[k]) for k in want))
+
+
+def test_near_clones_across_labels(spark):
+    import numpy as np
+
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
+    e = np.array([r["embedding"] for r in rows], dtype=np.float64)
+    e /= np.linalg.norm(e, axis=1, keepdims=True)
+    sim = np.triu(e @ e.T, 1)
+    want = {(rows[i]["vec_id"], rows[j]["vec_id"]) for i, j in np.argwhere(sim >= 0.2)}
+    got = QUERIES["near_clones"](spark, SF).collect()
+    assert {(r["a"], r["b"]) for r in got} == want and any(r["label_a"] != r["label_b"] for r in got)
