@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import norm_name, surface_keys, title_tokens
-from quillspark.operators.blocks import against
+from quillspark.operators.blocks import against, small
 from quillspark.operators.overlap import best_by, claims, cliques, components, cosine, jaccard, min_card, pair_counts
 from quillspark.operators.ranking import top_k
 from quillspark.plans.registry import query
@@ -327,12 +327,12 @@ def entity_layer(spark, d):
 
 @query("""
 WITH k AS (SELECT p_partkey AS id, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS key FROM part)
-SELECT key, min(id) AS kept, count(*) AS n, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS ids FROM k WHERE id <= 400 GROUP BY 1 HAVING count(*) >= 2""")
+SELECT k.key, id, kept, n FROM k JOIN (SELECT key, min(id) AS kept, count(*) AS n FROM k GROUP BY 1 HAVING count(*) >= 2) g ON k.key = g.key""")
 def alias_collapse(spark, d):
-    """Live records of one normalised name fold into the lowest id."""
-    k = table(spark, d, "part").where("p_partkey <= 400").select(F.col("p_partkey").alias("id"), norm_name(F.col("p_name")).alias("key"))
-    out = k.groupBy("key").agg(F.min("id").alias("kept"), F.count("*").alias("n"), F.array_sort(F.collect_list("id")).alias("i")).where("n >= 2")
-    return out.select("key", "kept", "n", F.array_join(F.transform("i", lambda x: x.cast("string")), ",").alias("ids"))
+    """Live records of one normalised name fold into the lowest id: a row for each record."""
+    k = table(spark, d, "part").select(F.col("p_partkey").alias("id"), norm_name(F.col("p_name")).alias("key"))
+    groups = k.groupBy("key").agg(F.min("id").alias("kept"), F.count("*").alias("n")).where("n >= 2")
+    return k.join(small(groups), "key").select("key", "id", "kept", "n")
 
 
 @query(with_sql(ACT) + """

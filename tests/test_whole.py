@@ -90,3 +90,10 @@ def test_near_clones_across_labels(spark):
     want = {(rows[i]["vec_id"], rows[j]["vec_id"]) for i, j in np.argwhere(sim >= 0.2)}
     got = QUERIES["near_clones"](spark, SF).collect()
     assert {(r["a"], r["b"]) for r in got} == want and any(r["label_a"] != r["label_b"] for r in got)
+
+
+def test_all_records_fold(spark, tmp_path):
+    names = [(1, "Red Ring"), (399, "red  ring!"), (401, "RED-RING"), (9000, "blue cup"), (9001, "Blue Cup"), (5, "alone")]
+    spark.createDataFrame(names, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {(r["key"], r["id"], r["kept"], r["n"]) for r in QUERIES["alias_collapse"](spark, str(tmp_path)).collect()}
+    assert got == {("red ring", 1, 1, 3), ("red ring", 399, 1, 3), ("red ring", 401, 1, 3), ("blue cup", 9000, 9000, 2), ("blue cup", 9001, 9000, 2)}
