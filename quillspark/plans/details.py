@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillspark.functions.scores import PRIOR_LOGIT, half_life, sigmoid
+from quillspark.operators.blocks import small
 from quillspark.plans.registry import query
 from quillspark.plans.views import ACT, EV, PUB, activities, event_rows, publications, with_sql
 from quillspark.sources.tables import table
@@ -59,11 +60,17 @@ def duration_ms(spark, d):
     return e.withColumn("ms", F.unix_millis(nx) - F.unix_millis("ts")).where("ms is not null").groupBy("user_id").agg(F.max("ms").alias("longest_ms"))
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders ORDER BY length(CAST(o_orderkey AS VARCHAR)) DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 40")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, row_number() OVER (ORDER BY length(CAST(o_orderkey AS VARCHAR)), CAST(o_orderkey AS VARCHAR)) AS place FROM orders")
 def numeric_key_order(spark, d):
-    """The last forty ids of a string column in the order of numbers: by length, then by signs."""
-    k = F.col("o_orderkey").cast("string")
-    return table(spark, d, "orders").select(k.alias("id")).orderBy(F.length("id").desc(), F.col("id").desc()).limit(40)
+    """Each id's place in the order of numbers of a string column: by length, then by signs. Ids are numbered within ranges of all but their last five signs."""
+    from pyspark.sql import Window
+
+    ids = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
+    ids = ids.withColumns({"size": F.length("id"), "head": F.expr("substring(id, 1, greatest(length(id) - 5, 0))")})
+    before = F.sum("n").over(Window.orderBy("size", "head")) - F.col("n")
+    starts = ids.groupBy("size", "head").agg(F.count("*").alias("n")).select("size", "head", before.alias("before"))
+    place = F.row_number().over(Window.partitionBy("size", "head").orderBy("id"))
+    return ids.withColumn("at", place).join(small(starts), ["size", "head"]).select("id", (F.col("before") + F.col("at")).alias("place"))
 
 
 @query(with_sql(ACT) + """

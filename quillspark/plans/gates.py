@@ -102,13 +102,14 @@ def display_overlay(spark, d):
 @query(with_sql(EV) + """
 , q AS (SELECT event_id, CASE WHEN event_type = 'signup' THEN 'pending' WHEN k < 5 THEN 'taxonomy changed' WHEN k < 10 THEN 'prompt changed' WHEN k < 12 THEN 'subarea changed' WHEN event_type = 'error' AND value > 20 THEN 'failed again' END AS reason FROM ev),
 o AS (SELECT *, CASE reason WHEN 'pending' THEN 0 WHEN 'taxonomy changed' THEN 1 WHEN 'prompt changed' THEN 2 WHEN 'subarea changed' THEN 3 ELSE 4 END AS p FROM q WHERE reason IS NOT NULL)
-SELECT event_id, reason FROM o ORDER BY p, event_id LIMIT 2500""")
+SELECT event_id, reason, p AS priority FROM o""")
 def due_items(spark, d):
-    """Why an item is due; new ones first."""
+    """Why each due item is due, and its priority; new ones first."""
     k, kind = F.col("k"), F.col("event_type")
     reason = F.when(kind == "signup", "pending").when(k < 5, "taxonomy changed").when(k < 10, "prompt changed").when(k < 12, "subarea changed").when((kind == "error") & (F.col("value") > 20), "failed again")
     place = F.array_position(F.array(*[F.lit(x) for x in ("pending", "taxonomy changed", "prompt changed", "subarea changed", "failed again")]), F.col("reason"))
-    return event_rows(spark, d).select("event_id", reason.alias("reason")).where("reason is not null").orderBy(place, "event_id").limit(2500)
+    due = event_rows(spark, d).select("event_id", reason.alias("reason")).where("reason is not null")
+    return due.withColumn("priority", (place - 1).cast("int")).orderBy("priority", "event_id")
 
 
 @G.gate("publish", "block", "no_blank_subtopic")

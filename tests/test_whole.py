@@ -97,3 +97,22 @@ def test_all_records_fold(spark, tmp_path):
     spark.createDataFrame(names, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
     got = {(r["key"], r["id"], r["kept"], r["n"]) for r in QUERIES["alias_collapse"](spark, str(tmp_path)).collect()}
     assert got == {("red ring", 1, 1, 3), ("red ring", 399, 1, 3), ("red ring", 401, 1, 3), ("blue cup", 9000, 9000, 2), ("blue cup", 9001, 9000, 2)}
+
+
+def test_places_of_all_ids(spark, tmp_path):
+    ids = [7, 10, 99, 100, 1000, 12345, 99999, 100000, 123456, 123457, 1234567, 9999999, 10000000]
+    spark.createDataFrame([(k,) for k in reversed(ids)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    assert {int(r["id"]): r["place"] for r in QUERIES["numeric_key_order"](spark, str(tmp_path)).collect()} == {k: i + 1 for i, k in enumerate(ids)}
+
+
+def test_all_due_items(spark):
+    from quillspark.plans.views import event_rows
+
+    def due(r):
+        k = r["k"] if r["k"] is not None else math.inf
+        tests = (r["event_type"] == "signup", k < 5, k < 10, k < 12, r["event_type"] == "error" and r["value"] > 20)
+        return next((i for i, t in enumerate(tests) if t), None)
+
+    want = {r["event_id"]: due(r) for r in event_rows(spark, LARGER).collect()}
+    got = {r["event_id"]: r["priority"] for r in QUERIES["due_items"](spark, LARGER).collect()}
+    assert len(got) > 2500 and got == {k: p for k, p in want.items() if p is not None}
