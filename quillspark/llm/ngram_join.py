@@ -2,8 +2,8 @@
 
 Every set is embedded as 128 tokens (position, minimum hash). A run starts at one root; a node splits a set's way into the
 children of those tokens that the node's hash function samples, 1/similarity of them on average, so that similar sets keep
-meeting in some child while others part. Nodes with few sets are compared outright; crowded nodes split again; nodes that
-don't shrink (their sets are alike) are compared in random blocks. Runs repeat until the target recall.
+meeting in some child while others part. Nodes with few sets are compared outright; crowded nodes split again, unless
+nearly all their sets are alike to a pivot, which links them. Runs repeat until the target recall at the deepest split.
 
 Compared sets whose minima agree nearly often enough are joined to loose groups; within each loose group all sets meet
 block by block and the exact Jaccard similarity of every pair decides, so that links are exact and no pairs are written.
@@ -27,10 +27,8 @@ WORDS, SIMILARITY = 5, 0.8
 TOKENS = 128
 #: Probability with which a pair at the threshold should meet in a node at least, splits included.
 RECALL = 0.999
-#: Sets that a node may hold to be compared outright, and the splits after which a crowded node is compared in blocks.
+#: Sets that a node may hold to be compared outright, and the splits after which all pairs of a crowded node's blocks are compared.
 NODE, DEPTH = 800, 6
-#: A child with this share of its crowded parent's sets shows that they are alike.
-DENSE = 0.6
 #: Share of agreeing minima from which sets join a loose group: four standard deviations below the threshold.
 LOOSE = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / TOKENS) ** 0.5
 #: Sets, and shingles, of one block of a loose group.
@@ -79,13 +77,16 @@ def minima(sh: np.ndarray) -> np.ndarray:
     return out
 
 
-def runs_for(recall: float = RECALL) -> int:
-    """Runs after which a pair at the threshold has met with this probability, if nodes split once more on its way.
+def runs_for(recall: float = RECALL, splits: int = 1) -> int:
+    """Runs after which a pair at the threshold has met with this probability, if nodes split so often on its way.
 
     A run's children are Poisson(1 / similarity); a pair shares on average one of them, and survives a further split with
-    probability 1 - 1/e.
+    probability 1 - 1/e, two with 1 - exp(-(1 - 1/e)), and so on.
     """
-    return int(np.ceil(np.log(1 / (1 - recall)) / (1 - np.exp(-1.0))))
+    met = 1.0
+    for _ in range(splits):
+        met = 1 - np.exp(-met)
+    return int(np.ceil(np.log(1 / (1 - recall)) / met))
 
 
 def children(node: np.ndarray, minimum: np.ndarray) -> list[np.ndarray]:
@@ -223,50 +224,100 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> DataFrame:
-    """reps(row, minimum, nodes) -> (node, row): nodes of at least two and at most about node_limit sets."""
+def rerooted(reps: DataFrame, first: int, last: int) -> DataFrame:
+    """reps(row, minimum) -> row, minimum, nodes: further runs, from stored minima."""
+    schema = pa.schema([("row", pa.int64()), ("minimum", pa.binary()), ("nodes", pa.list_(pa.int64()))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roots = _roots(last)[first:]
+        for batch in batches:
+            low = np.frombuffer(b"".join(batch.column("minimum").to_pylist()), dtype="<u2").reshape(-1, TOKENS)
+            found = [children(np.full(len(low), r), low) for r in roots]
+            nodes = [np.unique(np.concatenate([f[i] for f in found])) for i in range(len(low))]
+            yield pa.record_batch([batch.column("row"), batch.column("minimum"), pa.array(nodes, schema.field("nodes").type)], schema=schema)
+
+    return reps.select("row", "minimum").mapInArrow(work, "row long, minimum binary, nodes array<long>")
+
+
+def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> tuple[DataFrame, int, DataFrame | None]:
+    """reps(row, minimum, nodes): (node, row), nodes of at least two and at most about node_limit sets; the deepest split
+    that occurred; the rows that were split more than once, if any.
+
+    No pair of a crowded node is lost but by splits. Where at most half of node_limit sets aren't alike to a pivot, the others are dealt into
+    blocks, each with the pivot, which links them to one loose group, and with all sets that aren't alike to it. Others split
+    again; beyond the deepest split all pairs of a node's blocks are compared.
+    """
     level = stored(reps.select("row", F.explode("nodes").alias("node")), "level")
-    parts = []
+    parts, deep, splits, used = [], [], 0, []
     low = reps.select("row", "minimum")
-    parents = None
     for d in range(depth + 1):
-        counts = level.groupBy("node").agg(F.count("*").alias("c")) if parents is None else level.groupBy("node", "parent_c").agg(F.count("*").alias("c"))
-        counts = stored(counts.where("c > 1"), "counts")
+        counts = stored(level.groupBy("node").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("node", "row").alias("h"), "row"))["row"].alias("pivot")).where("c > 1"), "counts")
         few = counts.where(F.col("c") <= node_limit)
         parts.append(level.join(few.select("node"), "node").select("node", "row"))
         many = counts.where(F.col("c") > node_limit)
         if not many.limit(1).count():
             break
-        # sets that are alike, or that split often enough: compared in random blocks of the node
-        stop = F.lit(d == depth) if parents is None else F.lit(d == depth) | (F.col("c") >= DENSE * F.col("parent_c"))
-        alike = many.where(stop).select("node", "c")
-        salt = F.pmod(F.xxhash64("node", "row"), F.ceil(F.col("c") / node_limit))
-        parts.append(level.join(small_side(alike), "node").select((F.shiftrightunsigned(F.xxhash64("node", salt), 1)).alias("node"), "row"))
-        again = stored(level.join(small_side(many.where(~stop).select("node", "c")), "node").select("node", "c", "row").join(low, "row"), "again")
+        pivots = stored(many.join(low.select(F.col("row").alias("pivot"), F.col("minimum").alias("p")), "pivot"), "pivots")
+        crowded = stored(_alike(level.join(small_side(pivots), "node").join(low, "row")), "crowded")
+        used.append(crowded)
+        apart = stored(crowded.groupBy("node").agg(F.count(F.when(~F.col("alike"), 1)).alias("apart")), "apart")
+        crowded = crowded.join(small_side(apart), "node")
+        stop = F.col("apart") <= node_limit // 2
+        blocks = F.ceil(F.col("c") / node_limit)
+        own = F.pmod(F.xxhash64("node", "row"), blocks)
+        wide = ~F.col("alike") | (F.col("row") == F.col("pivot"))
+        dealt = crowded.where(stop).select("node", "row", F.explode(F.when(wide, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))).alias("x"))
+        parts.append(dealt.select(F.shiftrightunsigned(F.xxhash64("node", "x"), 1).alias("node"), "row"))
+        if d == depth:
+            halves = F.ceil(2 * F.col("c") / node_limit)
+            pairs = crowded.where(~stop).withColumn("b", F.pmod(F.xxhash64("node", "row"), halves)).withColumn("x", F.explode(F.sequence(F.lit(0), halves - 1))).where("b <> x")
+            parts.append(pairs.select(F.shiftrightunsigned(F.xxhash64("node", F.least("b", "x"), F.greatest("b", "x")), 1).alias("node"), "row"))
+            break
+        again = stored(crowded.where(~stop).select("node", "row", "minimum"), "again")
+        used.append(again)
+        if again.limit(1).count():
+            splits = d + 1
+            if d:
+                deep.append(again.select("row"))
         level = stored(_split(again), "level")
-        drop_stored(again)
-        parents = True
         if not level.limit(1).count():
             break
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return stored(out, "met")
+    rows = None
+    for t in deep:
+        rows = t if rows is None else rows.unionByName(t)
+    found = stored(out, "met"), splits, None if rows is None else stored(rows.distinct(), "deep")
+    for t in used:
+        drop_stored(t)
+    return found
+
+
+def _alike(crowded: DataFrame) -> DataFrame:
+    """crowded(node, row, c, pivot, minimum, p) -> node, row, c, pivot, minimum, alike: whether the set would join the pivot's loose group."""
+    schema = pa.schema([("node", pa.int64()), ("row", pa.int64()), ("c", pa.int64()), ("pivot", pa.int64()), ("minimum", pa.binary()), ("alike", pa.bool_())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low, p = (np.frombuffer(b"".join(batch.column(n).to_pylist()), dtype="<u2").reshape(-1, TOKENS) for n in ("minimum", "p"))
+            yield pa.record_batch([*[batch.column(n) for n in schema.names[:5]], pa.array((low == p).sum(1) >= LOOSE * TOKENS)], schema=schema)
+
+    return crowded.select("node", "row", "c", "pivot", "minimum", "p").mapInArrow(work, "node long, row long, c long, pivot long, minimum binary, alike boolean")
 
 
 def _split(crowded: DataFrame) -> DataFrame:
-    """crowded(node, c, row, minimum) -> (node, parent_c, row) of the children."""
-    schema = pa.schema([("node", pa.int64()), ("parent_c", pa.int64()), ("row", pa.int64())])
+    """crowded(node, row, minimum) -> (node, row) of the children."""
+    schema = pa.schema([("node", pa.int64()), ("row", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, rows, c = batch.column("node").to_numpy(), batch.column("row").to_numpy(), batch.column("c").to_numpy()
+            nodes, rows = batch.column("node").to_numpy(), batch.column("row").to_numpy()
             low = np.frombuffer(b"".join(batch.column("minimum").to_pylist()), dtype="<u2").reshape(-1, TOKENS)
             found = children(nodes.astype(np.uint64) + np.uint64(0x51ED), low)
-            sizes = [len(f) for f in found]
-            yield pa.record_batch([pa.array(np.concatenate(found) if found else [], pa.int64()), pa.array(np.repeat(c, sizes), pa.int64()), pa.array(np.repeat(rows, sizes), pa.int64())], schema=schema)
+            yield pa.record_batch([pa.array(np.concatenate(found) if found else [], pa.int64()), pa.array(np.repeat(rows, [len(f) for f in found]), pa.int64())], schema=schema)
 
-    return crowded.select("node", "c", "row", "minimum").mapInArrow(work, "node long, parent_c long, row long")
+    return crowded.mapInArrow(work, "node long, row long")
 
 
 def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -352,12 +403,20 @@ def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, dep
     owned = stored(narrow.join(firsts, "digest", "left").select("row", "doc_id", F.coalesce("rep", "row").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies")), "owned")
     later = stored(owned.where("row <> rep").select("row"), "later")
     reps = stored(table.where("n > 0").select("row", "minimum", "nodes").join(small_side(later), "row", "left_anti"), "reps")
-    met = met_sets(reps, node_limit, depth)
+    met, splits, deep = met_sets(reps, node_limit, depth)
+    tables = [met, reps]
+    # pairs that more splits may have parted get more runs: both their sets were split more than once
+    while deep is not None and runs < runs_for(recall, splits):
+        more = runs_for(recall, splits)
+        extra = stored(rerooted(reps.join(small_side(deep), "row", "left_semi"), runs, more), "extra")
+        found, deepest, _ = met_sets(extra, node_limit, depth)
+        tables += [found, extra]
+        met, runs, splits = met.unionByName(found), more, max(splits, deepest)
     edges = loose_edges(met.join(reps.select("row", "minimum"), "row"))
     loose = components(edges)
     member = loose.select(F.col("node").alias("row"), F.col("root").alias("comp")).unionByName(loose.select(F.col("root").alias("row"), F.col("root").alias("comp")).distinct())
     member = stored(member, "member")
-    for t in (met, reps):
+    for t in tables:
         drop_stored(t)
     sized = stored(table.select("row", "n", "shingles").join(small_side(member), "row").join(owned.select("row", "copies"), "row"), "sized")
 
