@@ -6,10 +6,15 @@ import atexit
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.sources.shared import shared_dir
 
@@ -17,8 +22,10 @@ from quillspark.sources.shared import shared_dir
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: A side with at most this many rows (of a few dozen bytes each) may be broadcast; beyond it joins shuffle.
-BROADCAST_ROWS = 200_000
+#: A side of at most so many bytes, counted before the join, may be broadcast; beyond it joins shuffle.
+BROADCAST_BYTES = 8 << 20
+#: Bytes of text that a Python function works on at once.
+BATCH_BYTES = 8 << 20
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -39,7 +46,7 @@ def stored(df: DataFrame, label: str = "t") -> DataFrame:
 
 def drop_stored(df: DataFrame) -> None:
     """Deletes a table of stored() that no later result reads."""
-    path = getattr(df, "_quill_path", None)
+    path = getattr(df, "_quill_path", None)  # none, too, where df is None
     if path:
         _delete(df.sparkSession, path)
 
@@ -58,9 +65,33 @@ def _clean() -> None:
             return
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df marked for broadcast if it has at most `rows` rows, unmarked otherwise. df should be cheap (a stored table)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _width(name: str, kind: T.DataType) -> Column:
+    c = F.col(f"`{name}`")
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        return F.greatest(F.size(c), F.lit(0)) * 16 + 16
+    return F.lit(16)
+
+
+def small_side(df: DataFrame, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for broadcast if its rows take at most `size` bytes, unmarked otherwise. df should be cheap (a stored table)."""
+    width = sum((_width(f.name, f.dataType) for f in df.schema.fields), F.lit(16))
+    return F.broadcast(df) if (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= size else df
+
+
+def batches_of_bytes(batch: pa.RecordBatch, rows: int, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of at most `rows` rows and about `size` bytes of text (one row at least)."""
+    length = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+            length += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(length), 0
+    while start < batch.num_rows:
+        room = np.searchsorted(ends, (ends[start - 1] if start else 0) + size, side="right")
+        stop = min(start + rows, max(int(room), start + 1))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 _shipped: set[str] = set()

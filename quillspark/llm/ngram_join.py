@@ -2,11 +2,13 @@
 
 Every set is embedded as 128 tokens (position, minimum hash). A run starts at one root; a node splits a set's way into the
 children of those tokens that the node's hash function samples, 1/similarity of them on average, so that similar sets keep
-meeting in some child while others part. Nodes with few sets are compared outright; crowded nodes split again, unless
-nearly all their sets are alike to a pivot, which links them. Runs repeat until the target recall at the deepest split.
+meeting in some child while others part. Nodes with few sets are compared outright. A crowded node is split again by tokens
+that are not common in it: what its sets share (a hot passage, the body of a near copy) parts nobody, what is a set's own
+does at once. Sets that mostly agree with the node's common tokens are linked to each other besides. Runs repeat until the
+target recall.
 
-Compared sets whose minima agree nearly often enough are joined to loose groups; within each loose group all sets meet
-block by block and the exact Jaccard similarity of every pair decides, so that links are exact and no pairs are written.
+Compared sets whose minima agree nearly often enough are joined to loose groups, inside which exact similarities decide
+(see group_links), so that links are exact and no pairs are written.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import drop_stored, packed, ship, small_side, stored, tune, without_rows
+from quillspark.llm.common import batches_of_bytes, drop_stored, packed, ship, small_side, stored, tune, without_rows
 from quillspark.llm.fingerprint import _mix, word_hashes, words_of
+from quillspark.llm.group_links import BLOCK_SETS, group_links
+from quillspark.llm.grouping import linked_groups, sorted_groups, whole_groups
 
 WORDS, SIMILARITY = 5, 0.8
 TOKENS = 128
@@ -29,10 +33,12 @@ TOKENS = 128
 RECALL = 0.999
 #: Sets that a node may hold to be compared outright, and the splits after which all pairs of a crowded node's blocks are compared.
 NODE, DEPTH = 800, 6
+#: Children that a pair at the threshold shares on average where a crowded node splits.
+SHARED = 3
+#: A value that this share of a crowded node's sample has at a position is common there; sets of a sample.
+COMMON, SAMPLE = 0.25, 256
 #: Share of agreeing minima from which sets join a loose group: four standard deviations below the threshold.
 LOOSE = SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / TOKENS) ** 0.5
-#: Sets, and shingles, of one block of a loose group.
-BLOCK_SETS, BLOCK_SHINGLES = 512, 400_000
 NULL_ID = -(2**63)
 
 _rng = np.random.default_rng(20240229)
@@ -77,24 +83,47 @@ def minima(sh: np.ndarray) -> np.ndarray:
     return out
 
 
-def runs_for(recall: float = RECALL, splits: int = 1) -> int:
+def runs_for(recall: float = RECALL, splits: int = DEPTH) -> int:
     """Runs after which a pair at the threshold has met with this probability, if nodes split so often on its way.
 
-    A run's children are Poisson(1 / similarity); a pair shares on average one of them, and survives a further split with
-    probability 1 - 1/e, two with 1 - exp(-(1 - 1/e)), and so on.
+    The children that a pair shares are Poisson, 1 on average at a root and SHARED at a crowded node: it gets through one
+    split with probability 1 - exp(-SHARED), through two with 1 - exp(-SHARED (1 - exp(-SHARED))), and so on.
     """
     met = 1.0
     for _ in range(splits):
-        met = 1 - np.exp(-met)
+        met = 1 - np.exp(-SHARED * met)
     return int(np.ceil(np.log(1 / (1 - recall)) / met))
 
 
-def children(node: np.ndarray, minimum: np.ndarray) -> list[np.ndarray]:
-    """node (n,), minimum (n, 128): for each set the ids of the children that its tokens choose at its node."""
+def _draws(node: np.ndarray, minimum: np.ndarray) -> np.ndarray:
+    """For each set at its node, and each token, a hash of both (64 bits)."""
     place = (np.arange(TOKENS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    h = _mix(_mix(node[:, None] + place[None, :]) ^ (minimum.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)))
-    chosen = (h >> np.uint64(32)) < np.uint64(int(2**32 / (SIMILARITY * TOKENS)))
-    return [(_mix(h[i][chosen[i]]) >> np.uint64(1)).astype(np.int64) for i in range(len(node))]
+    return _mix(_mix(node[:, None] + place[None, :]) ^ (minimum.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)))
+
+
+def _named(h: np.ndarray, chosen: np.ndarray) -> list[np.ndarray]:
+    return [(_mix(h[i][chosen[i]]) >> np.uint64(1)).astype(np.int64) for i in range(len(h))]
+
+
+def children(node: np.ndarray, minimum: np.ndarray) -> list[np.ndarray]:
+    """node (n,), minimum (n, 128): for each set the ids of the children that its tokens choose at its root."""
+    h = _draws(node, minimum)
+    return _named(h, (h >> np.uint64(32)) < np.uint64(int(2**32 / (SIMILARITY * TOKENS))))
+
+
+def own_children(node: np.ndarray, minimum: np.ndarray, common: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """node (n,), minimum and common (n, 128), common -1 where a position has no common value: for each set the children that
+    its uncommon tokens choose, and how many of its tokens are common.
+
+    A pair at the threshold agrees at 0.8 x 128 positions, at min(h, h') common ones at most: it shares 0.8 x 128 - min(h, h')
+    uncommon tokens at least, of which SHARED are chosen on average.
+    """
+    own = minimum != common
+    h = TOKENS - own.sum(1)
+    rate = np.minimum(1.0, SHARED / np.maximum(SIMILARITY * TOKENS - h, (SIMILARITY - LOOSE) * TOKENS))
+    draw = _draws(node, minimum)
+    chosen = own & ((draw >> np.uint64(32)) < (rate * 2.0**32).astype(np.uint64)[:, None])
+    return _named(draw, chosen), h
 
 
 def _roots(runs: int) -> np.ndarray:
@@ -110,8 +139,7 @@ def embedded(docs: DataFrame, runs: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, roots = TaskContext.get().partitionId() << 33, _roots(runs)
         for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
+            for part in batches_of_bytes(batch, 128):
                 out = {"digest": [], "n": [], "minimum": [], "nodes": [], "shingles": []}
                 for text in part.column(2):
                     sh = shingles(text.as_py())
@@ -132,47 +160,6 @@ def embedded(docs: DataFrame, runs: int) -> DataFrame:
     return source.mapInArrow(work, "row long, doc_id long, sha binary, digest binary, n long, minimum binary, nodes array<long>, shingles binary")
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: int = 1) -> Iterator[pa.Table]:
-    """Batches sorted by their first columns -> one table a group. A group may span batches."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
-        change = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
-        edges = [0, *change.tolist(), batch.num_rows]
-        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-            key = tuple(c[lo] for c in cols)
-            if last is not None and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(lo, hi - lo))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def linked_groups(m: int, similar) -> list[np.ndarray]:
-    """Connected groups of 0..m-1 under similar(i, candidates) -> mask. What is in a group isn't compared again."""
-    todo, out = np.arange(m), []
-    while len(todo):
-        group, frontier, rest = [todo[0]], [todo[0]], todo[1:]
-        while frontier and len(rest):
-            hit = similar(frontier.pop(), rest)
-            new = rest[hit].tolist()
-            rest = rest[~hit]
-            group += new
-            frontier += new
-        out.append(np.array(group))
-        todo = rest
-    return out
-
-
-def _sorted(df: DataFrame, *keys: str) -> DataFrame:
-    return df.repartition(*keys).sortWithinPartitions(*keys)
-
-
 def loose_edges(met: DataFrame) -> DataFrame:
     """met(node, row, minimum): stars (row, root) of the loose groups in each node."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -194,17 +181,16 @@ def loose_edges(met: DataFrame) -> DataFrame:
                 us, vs = [], []
         yield pa.record_batch([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], schema=schema)
 
-    return _sorted(met.select("node", "row", "minimum"), "node").mapInArrow(work, "u long, v long")
+    return sorted_groups(met.select("node", "row", "minimum"), "node").mapInArrow(work, "u long, v long")
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """edges(u, v) -> (node, root), root the smallest node of its component: alternating large and small stars."""
+def components(edges: DataFrame) -> DataFrame:
+    """edges(u, v) -> (node, root), root the smallest node of its component: alternating large and small stars, until nothing
+    changes (a logarithmic number of rounds)."""
     now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     seal = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
     was = seal(now)
-    for _ in range(rounds):
-        if not was[0]:
-            break
+    while was[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # smallest neighbours are written, so that both sides of the join are plain exchanges, of which a hub's can be split
         low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cclow")
@@ -219,173 +205,97 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         if seen == was:
             break
         was = seen
-    else:
-        raise RuntimeError("components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def rerooted(reps: DataFrame, first: int, last: int) -> DataFrame:
-    """reps(row, minimum) -> row, minimum, nodes: further runs, from stored minima."""
-    schema = pa.schema([("row", pa.int64()), ("minimum", pa.binary()), ("nodes", pa.list_(pa.int64()))])
+def common_values(crowded: DataFrame) -> DataFrame:
+    """crowded(node, c, row, minimum) -> (node, common): the most frequent value at each of the 128 positions where a share of
+    COMMON of a sample of the node's sets has it, -1 elsewhere. A sample is SAMPLE sets on average; whatever it holds, the
+    splits stay right: it only decides how fast a node empties."""
+    schema = pa.schema([("node", pa.int64()), ("common", pa.binary())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, found = [], []
+        for t in whole_groups(batches):
+            low = np.sort(np.frombuffer(b"".join(t.column("minimum").to_pylist()), dtype="<u2").reshape(-1, TOKENS), axis=0)
+            common = np.full(TOKENS, -1, np.int32)
+            need = max(1, int(np.ceil(COMMON * len(low))))
+            # a value that `need` sorted entries in a row hold is frequent; the longest such run wins
+            for i in range(TOKENS):
+                edges = np.flatnonzero(np.concatenate(([True], low[1:, i] != low[:-1, i], [True])))
+                sizes = np.diff(edges)
+                top = int(sizes.argmax())
+                if sizes[top] >= need:
+                    common[i] = low[edges[top], i]
+            nodes.append(t.column("node")[0].as_py())
+            found.append(common.tobytes())
+        yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], schema=schema)
+
+    sample = crowded.where(F.pmod(F.xxhash64("node", "row"), F.col("c")) < SAMPLE).select("node", "minimum")
+    return sorted_groups(sample, "node").mapInArrow(work, "node long, common binary")
+
+
+def _split(crowded: DataFrame) -> DataFrame:
+    """crowded(node, row, minimum, common) -> (node, row, alike): a row for each chosen child, and one for its own node where
+    the set agrees with the node's common values as often as a loose group asks."""
+    schema = pa.schema([("node", pa.int64()), ("row", pa.int64()), ("alike", pa.bool_())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roots = _roots(last)[first:]
         for batch in batches:
+            nodes, rows = batch.column("node").to_numpy(), batch.column("row").to_numpy()
             low = np.frombuffer(b"".join(batch.column("minimum").to_pylist()), dtype="<u2").reshape(-1, TOKENS)
-            found = [children(np.full(len(low), r), low) for r in roots]
-            nodes = [np.unique(np.concatenate([f[i] for f in found])) for i in range(len(low))]
-            yield pa.record_batch([batch.column("row"), batch.column("minimum"), pa.array(nodes, schema.field("nodes").type)], schema=schema)
+            common = np.frombuffer(b"".join(batch.column("common").to_pylist()), dtype="<i4").reshape(-1, TOKENS)
+            found, h = own_children(nodes.astype(np.uint64) + np.uint64(0x51ED), low, common)
+            near = h >= LOOSE * TOKENS
+            to = np.concatenate([*found, nodes[near]]) if len(nodes) else np.zeros(0, np.int64)
+            own = np.concatenate([np.repeat(rows, [len(f) for f in found]), rows[near]])
+            flag = np.arange(len(to)) >= len(to) - int(near.sum())
+            yield pa.record_batch([pa.array(to, pa.int64()), pa.array(own, pa.int64()), pa.array(flag)], schema=schema)
 
-    return reps.select("row", "minimum").mapInArrow(work, "row long, minimum binary, nodes array<long>")
+    return crowded.select("node", "row", "minimum", "common").mapInArrow(work, "node long, row long, alike boolean")
 
 
-def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> tuple[DataFrame, int, DataFrame | None]:
-    """reps(row, minimum, nodes): (node, row), nodes of at least two and at most about node_limit sets; the deepest split
-    that occurred; the rows that were split more than once, if any.
+def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> tuple[DataFrame, DataFrame | None, int]:
+    """reps(row, minimum, nodes): (node, row), nodes of at least two and at most about node_limit sets; stars (u, v) of the
+    sets that agree with a crowded node's common values, if any; the splits that occurred.
 
-    No pair of a crowded node is lost but by splits. Where at most half of node_limit sets aren't alike to a pivot, the others are dealt into
-    blocks, each with the pivot, which links them to one loose group, and with all sets that aren't alike to it. Others split
-    again; beyond the deepest split all pairs of a node's blocks are compared.
+    No pair is lost but by a split's sampling, which runs_for() accounts for: nodes that are crowded after `depth` splits are
+    dealt into blocks, and all pairs of blocks are compared.
     """
     level = stored(reps.select("row", F.explode("nodes").alias("node")), "level")
-    parts, deep, splits, used = [], [], 0, []
     low = reps.select("row", "minimum")
+    parts, stars, used = [], None, []
     for d in range(depth + 1):
-        counts = stored(level.groupBy("node").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("node", "row").alias("h"), "row"))["row"].alias("pivot")).where("c > 1"), "counts")
-        few = counts.where(F.col("c") <= node_limit)
-        parts.append(level.join(few.select("node"), "node").select("node", "row"))
-        many = counts.where(F.col("c") > node_limit)
+        used.append(level)
+        counts = stored(level.groupBy("node").agg(F.count("*").alias("c")).where("c > 1"), "counts")
+        used.append(counts)
+        few, many = counts.where(F.col("c") <= node_limit).select("node"), counts.where(F.col("c") > node_limit)
+        parts.append(level.join(few, "node").select("node", "row"))
         if not many.limit(1).count():
             break
-        pivots = stored(many.join(low.select(F.col("row").alias("pivot"), F.col("minimum").alias("p")), "pivot"), "pivots")
-        crowded = stored(_alike(level.join(small_side(pivots), "node").join(low, "row")), "crowded")
-        used.append(crowded)
-        apart = stored(crowded.groupBy("node").agg(F.count(F.when(~F.col("alike"), 1)).alias("apart")), "apart")
-        crowded = crowded.join(small_side(apart), "node")
-        stop = F.col("apart") <= node_limit // 2
-        blocks = F.ceil(F.col("c") / node_limit)
-        own = F.pmod(F.xxhash64("node", "row"), blocks)
-        wide = ~F.col("alike") | (F.col("row") == F.col("pivot"))
-        dealt = crowded.where(stop).select("node", "row", F.explode(F.when(wide, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))).alias("x"))
-        parts.append(dealt.select(F.shiftrightunsigned(F.xxhash64("node", "x"), 1).alias("node"), "row"))
         if d == depth:
             halves = F.ceil(2 * F.col("c") / node_limit)
-            pairs = crowded.where(~stop).withColumn("b", F.pmod(F.xxhash64("node", "row"), halves)).withColumn("x", F.explode(F.sequence(F.lit(0), halves - 1))).where("b <> x")
+            pairs = level.join(many, "node").withColumn("b", F.pmod(F.xxhash64("node", "row"), halves)).withColumn("x", F.explode(F.sequence(F.lit(0), halves - 1))).where("b <> x")
             parts.append(pairs.select(F.shiftrightunsigned(F.xxhash64("node", F.least("b", "x"), F.greatest("b", "x")), 1).alias("node"), "row"))
             break
-        again = stored(crowded.where(~stop).select("node", "row", "minimum"), "again")
-        used.append(again)
-        if again.limit(1).count():
-            splits = d + 1
-            if d:
-                deep.append(again.select("row"))
-        level = stored(_split(again), "level")
-        if not level.limit(1).count():
-            break
+        crowded = stored(level.join(small_side(many), "node").join(low, "row").select("node", "c", "row", "minimum"), "crowded")
+        common = stored(common_values(crowded), "common")
+        split = stored(_split(crowded.join(small_side(common), "node")), "split")
+        drop_stored(crowded)
+        used += [common, split]
+        near = split.where("alike")
+        roots = stored(near.groupBy("node").agg(F.min("row").alias("root")), "roots")
+        used.append(roots)
+        found = near.join(small_side(roots), "node").select(F.col("row").alias("u"), F.col("root").alias("v")).where("u <> v")
+        stars = found if stars is None else stars.unionByName(found)
+        level = split.where("not alike").select("row", "node")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    rows = None
-    for t in deep:
-        rows = t if rows is None else rows.unionByName(t)
-    found = stored(out, "met"), splits, None if rows is None else stored(rows.distinct(), "deep")
+    met, stars = stored(out, "met"), None if stars is None else stored(stars.distinct(), "stars")
     for t in used:
         drop_stored(t)
-    return found
-
-
-def _alike(crowded: DataFrame) -> DataFrame:
-    """crowded(node, row, c, pivot, minimum, p) -> node, row, c, pivot, minimum, alike: whether the set would join the pivot's loose group."""
-    schema = pa.schema([("node", pa.int64()), ("row", pa.int64()), ("c", pa.int64()), ("pivot", pa.int64()), ("minimum", pa.binary()), ("alike", pa.bool_())])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low, p = (np.frombuffer(b"".join(batch.column(n).to_pylist()), dtype="<u2").reshape(-1, TOKENS) for n in ("minimum", "p"))
-            yield pa.record_batch([*[batch.column(n) for n in schema.names[:5]], pa.array((low == p).sum(1) >= LOOSE * TOKENS)], schema=schema)
-
-    return crowded.select("node", "row", "c", "pivot", "minimum", "p").mapInArrow(work, "node long, row long, c long, pivot long, minimum binary, alike boolean")
-
-
-def _split(crowded: DataFrame) -> DataFrame:
-    """crowded(node, row, minimum) -> (node, row) of the children."""
-    schema = pa.schema([("node", pa.int64()), ("row", pa.int64())])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, rows = batch.column("node").to_numpy(), batch.column("row").to_numpy()
-            low = np.frombuffer(b"".join(batch.column("minimum").to_pylist()), dtype="<u2").reshape(-1, TOKENS)
-            found = children(nodes.astype(np.uint64) + np.uint64(0x51ED), low)
-            yield pa.record_batch([pa.array(np.concatenate(found) if found else [], pa.int64()), pa.array(np.repeat(rows, [len(f) for f in found]), pa.int64())], schema=schema)
-
-    return crowded.mapInArrow(work, "node long, row long")
-
-
-def intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of the sets a with the sets b, by products of 0/1 matrices over shared values."""
-    flat = np.concatenate([*a, *b])
-    owner = np.repeat(np.arange(len(a) + len(b)), [len(s) for s in [*a, *b]])
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-    new = np.concatenate(([True], flat[1:] != flat[:-1]))
-    column = np.cumsum(new) - 1
-    shared = np.bincount(column)[column] > 1  # a value of one set adds nothing
-    column, owner = column[shared], owner[shared]
-    out = np.zeros((len(a), len(b)), np.float32)
-    if len(column):
-        column = np.cumsum(np.concatenate(([True], column[1:] != column[:-1]))) - 1
-        top = int(column[-1]) + 1
-        for lo in range(0, top, 2048):
-            x = np.zeros((len(a) + len(b), min(2048, top - lo)), np.float32)
-            i, j = np.searchsorted(column, [lo, lo + 2048])
-            x[owner[i:j], column[i:j] - lo] = 1
-            out += x[: len(a)] @ x[len(a) :].T
-    return out
-
-
-def exact_links(blocks: DataFrame) -> DataFrame:
-    """blocks(comp, bi, bj, side, row, copies, shingles), sorted into groups: (row, links, root) partial sums and stars."""
-    schema = pa.schema([("row", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in whole_groups(batches, 3):
-            side, rows, copies = t.column("side").to_numpy(), t.column("row").to_numpy(), t.column("copies").to_numpy()
-            sets = [np.frombuffer(s, dtype="<u4") for s in t.column("shingles").to_pylist()]
-            own = t.column("bi")[0].as_py() == t.column("bj")[0].as_py()
-            left = np.flatnonzero(side == 0)
-            right = left if own else np.flatnonzero(side == 1)
-            if not len(left) or not len(right):
-                continue
-            size = np.array([len(s) for s in sets], dtype=np.int64)
-            common = intersections([sets[k] for k in left], [sets[k] for k in right]).astype(np.int64)
-            # similarity >= 0.8 in whole numbers: 9 |a & b| >= 4 (|a| + |b|)
-            near = 9 * common >= 4 * (size[left][:, None] + size[right][None, :])
-            if own:
-                np.fill_diagonal(near, False)
-            links = np.zeros(len(rows), np.int64)
-            links[left] += near @ copies[right]
-            if not own:
-                links[right] += near.T @ copies[left]
-            where = np.full(len(rows), -1)
-            where[left] = np.arange(len(left))
-            other = np.full(len(rows), -1)
-            other[right] = np.arange(len(right))
-
-            def similar(i: int, rest: np.ndarray) -> np.ndarray:
-                hit = np.zeros(len(rest), bool)
-                if where[i] >= 0:  # noqa: B023
-                    ok = other[rest] >= 0  # noqa: B023
-                    hit[ok] |= near[where[i], other[rest[ok]]]  # noqa: B023
-                if other[i] >= 0:  # noqa: B023
-                    ok = where[rest] >= 0  # noqa: B023
-                    hit[ok] |= near[where[rest[ok]], other[i]]  # noqa: B023
-                return hit
-
-            root = np.empty(len(rows), np.int64)
-            for g in linked_groups(len(rows), similar):
-                root[g] = rows[g].min()
-            yield pa.record_batch([pa.array(rows, pa.int64()), pa.array(links, pa.int64()), pa.array(root, pa.int64())], schema=schema)
-
-    return blocks.mapInArrow(work, "row long, links long, root long")
+    return met, stars, d
 
 
 def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, depth: int = DEPTH, block_sets: int = BLOCK_SETS) -> tuple[DataFrame, DataFrame]:
@@ -395,7 +305,7 @@ def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, dep
     Words are those of shingles(). Null texts are empty; texts without words are alone;
     texts of fewer than five words are one shingle; equal sets (copies) are one node of the graph and count as linked.
     """
-    runs = runs_for(recall)
+    runs = runs_for(recall, depth)
     table = stored(embedded(docs, runs), "sets")
     narrow = table.select("row", "doc_id", "digest", "n")
     firsts = stored(narrow.where("n > 0").groupBy("digest").agg(F.min("row").alias("rep"), F.count("*").alias("copies")), "firsts")
@@ -403,29 +313,15 @@ def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, dep
     owned = stored(narrow.join(firsts, "digest", "left").select("row", "doc_id", F.coalesce("rep", "row").alias("rep"), F.coalesce("copies", F.lit(1)).alias("copies")), "owned")
     later = stored(owned.where("row <> rep").select("row"), "later")
     reps = stored(table.where("n > 0").select("row", "minimum", "nodes").join(small_side(later), "row", "left_anti"), "reps")
-    met, splits, deep = met_sets(reps, node_limit, depth)
-    tables = [met, reps]
-    # pairs that more splits may have parted get more runs: both their sets were split more than once
-    while deep is not None and runs < runs_for(recall, splits):
-        more = runs_for(recall, splits)
-        extra = stored(rerooted(reps.join(small_side(deep), "row", "left_semi"), runs, more), "extra")
-        found, deepest, _ = met_sets(extra, node_limit, depth)
-        tables += [found, extra]
-        met, runs, splits = met.unionByName(found), more, max(splits, deepest)
+    met, stars, _ = met_sets(reps, node_limit, depth)
     edges = loose_edges(met.join(reps.select("row", "minimum"), "row"))
-    loose = components(edges)
+    loose = components(edges if stars is None else edges.unionByName(stars))
     member = loose.select(F.col("node").alias("row"), F.col("root").alias("comp")).unionByName(loose.select(F.col("root").alias("row"), F.col("root").alias("comp")).distinct())
     member = stored(member, "member")
-    for t in tables:
+    for t in (met, reps, stars):
         drop_stored(t)
     sized = stored(table.select("row", "n", "shingles").join(small_side(member), "row").join(owned.select("row", "copies"), "row"), "sized")
-
-    sums = sized.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
-    blocks = sums.select("comp", F.ceil(F.greatest(F.col("m") / block_sets, F.col("s") / BLOCK_SHINGLES)).cast("int").alias("nb"))
-    placed = sized.join(small_side(stored(blocks, "blocks")), "comp").withColumn("b", F.pmod(F.xxhash64("row"), F.col("nb")).cast("int"))
-    spread = placed.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    spread = spread.select("comp", F.least("b", "x").alias("bi"), F.greatest("b", "x").alias("bj"), F.when(F.col("b") <= F.col("x"), 0).otherwise(1).alias("side"), "row", "copies", "shingles")
-    partial = stored(exact_links(_sorted(spread, "comp", "bi", "bj")), "partial")
+    partial = group_links(sized, block_sets)
     stars = components(partial.where("row <> root").select(F.col("row").alias("u"), F.col("root").alias("v")).distinct())
     links = partial.groupBy("row").agg(F.sum("links").alias("links"))
     answer = stored(links.join(stars.select(F.col("node").alias("row"), "root"), "row", "left").select(F.col("row").alias("rep"), "links", F.coalesce("root", "row").alias("root")), "answer")
