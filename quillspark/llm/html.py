@@ -8,9 +8,11 @@ is trained here, on pages that a seeded generator writes in many layouts; no pag
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html as _html
 import re
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import ship, tune
+from quillspark.llm.common import batches_of_bytes, ship, tune
 
 #: Tags with a place of their own in the path vector (fixed values); others share one.
 TAGS = (
@@ -43,7 +45,11 @@ CLASS_BITS = PATH_BITS - len(TAGS)
 INPUTS = PATH_BITS + len(TAGS) + WORD_BITS + MEASURES
 HIDDEN_UNITS = 24
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'">]++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>|<[!?/][^>]*>|[^<]++|<""", re.S)
+#: A tag without a "<" in it: whatever it matches or misses ends at the next "<".
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/><]*+)((?:[^'"<>]++|"[^"<]*"|'[^'<]*')*+)>""")
+_NAME = re.compile(r"</?([a-zA-Z][^\s/><]*+)")
+#: Numeric references with more digits than any code point has.
+_HUGE = re.compile(r"&#(?:0*+[0-9]{8,}+|[xX]0*+[0-9a-fA-F]{7,}+);?")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -63,96 +69,145 @@ class Block:
         self.text, self.path, self.tag, self.linked = text, path, tag, linked
 
 
+def decoded(text: str) -> str:
+    """Character references decoded, white space single, trimmed."""
+    if "&" in text:
+        text = _html.unescape(_HUGE.sub("\ufffd", text) if "&#" in text else text)
+    return " ".join(text.split())
+
+
+class _TagEnds:
+    """Where a tag that starts at a place ends: the first ">" outside quotes from there on. One pass over the page, made when
+    the first odd tag asks; a quote that nothing closes is a sign like any other."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at, self.end = page, [], []
+
+    def __call__(self, start: int) -> int:
+        """The place of the ">", or -1."""
+        if not self.at:
+            found = [(m.start(), m[0]) for m in re.finditer("[\"'>]", self.page)]
+            self.at, ends = [k for k, _ in found], [-1] * (len(found) + 1)
+            later = {'"': -1, "'": -1}
+            for i in range(len(found) - 1, -1, -1):
+                place, sign = found[i]
+                if sign == ">":
+                    ends[i] = place
+                else:
+                    ends[i] = ends[later[sign] + 1] if later[sign] >= 0 else ends[i + 1]
+                    later[sign] = i
+            self.end = ends
+        return self.end[bisect.bisect_left(self.at, start)]
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name or text, attributes) in page order; kind is "text", "open" or "close". Comments and declarations are left
+    out. Every sign is passed a bounded number of times, whatever is left open."""
+    at, n, last = 0, len(page), page.rfind(">")
+    ends = _TagEnds(page)
+    while at < n:
+        lt = page.find("<", at)
+        if lt != at:
+            yield "text", page[at : lt if lt >= 0 else n], ""
+            if lt < 0:
+                return
+            at = lt
+        m = _TAG.match(page, at)
+        if m:
+            at = m.end()
+            yield "close" if m[1] else "open", m[2].lower(), m[3]
+            if not m[1] and (name := m[2].lower()) in RAW:
+                close = re.compile(f"</{name}\\b", re.I).search(page, at)
+                at = close.start() if close else n
+            continue
+        if page.startswith("<!--", at):
+            close = page.find("-->", at + 4)
+            at = close + 3 if close >= 0 else n
+            continue
+        name = _NAME.match(page, at)
+        if at < last and (name or page[at + 1] in "!?/"):
+            close = ends(name.end()) if name else -1
+            if close < 0:
+                close = page.find(">", at)
+            if name:
+                yield "close" if page[at + 1] == "/" else "open", name[1].lower(), page[name.end() : close]
+            at = close + 1
+            if name and page[name.start() + 1] != "/" and name[1].lower() in RAW:
+                found = re.compile(f"</{name[1]}\\b", re.I).search(page, at)
+                at = found.start() if found else n
+            continue
+        yield "text", "<", ""
+        at += 1
+
+
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks in page order, references decoded, white space single. Linear in the page."""
+    """Leaf blocks in page order, references decoded, white space single. Linear in the page, whatever its faults."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, int]] = []  # name, path, hidden, tag bit of the nearest block
-    count: dict[str, int] = {}
+    stack: list[tuple[str, int, bool, int, int]] = []  # name, path, hidden, tag bit and place of the nearest block
+    where: dict[str, list[int]] = {}  # places in the stack by name
     text: list[str] = []
-    links = [0]
-    root = ("", 0, False, 0)
+    linked = 0
+    root = ("", 0, False, 0, -1)
 
     def flush() -> None:
+        nonlocal linked
         if text:
-            body = " ".join(_html.unescape("".join(text)).split())
+            body = decoded("".join(text))
             if body:
                 top = stack[-1] if stack else root
-                out.append(Block(body, top[1], top[3], min(1.0, links[0] / max(1, sum(map(len, text))))))
+                out.append(Block(body, top[1], top[3], min(1.0, linked / max(1, sum(map(len, text))))))
             text.clear()
-        links[0] = 0
+        linked = 0
 
-    def pop_to(names) -> None:
-        while stack:
-            name = stack.pop()[0]
-            count[name] -= 1
-            if name in names:
-                return
+    def last(names) -> int:
+        return max((where[x][-1] for x in names if where.get(x)), default=-1)
 
-    at, n = 0, len(page)
-    while at < n:
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        name = m[2] or m[5]
-        if name is None:
-            piece = m[0]
-            if piece[0] != "<" or len(piece) == 1:
-                top = stack[-1] if stack else root
-                if not top[2]:
-                    text.append(piece)
-                    if count.get("a"):
-                        links[0] += len(piece)
+    def cut(place: int) -> None:
+        while len(stack) > place:
+            where[stack.pop()[0]].pop()
+
+    for kind, name, attributes in tokens(page):
+        top = stack[-1] if stack else root
+        if kind == "text":
+            if not top[2]:
+                text.append(name)
+                if where.get("a"):
+                    linked += len(name)
             continue
-        name = name.lower()
-        if m[1] or m[4]:
+        if kind == "close":
             if name == "br":
                 text.append(" ")
-            elif count.get(name):
-                if name in BLOCKS:
-                    flush()
-                elif name in HIDDEN:
-                    pass
-                pop_to({name})
             elif name in BLOCKS:
                 flush()
+            if where.get(name):
+                cut(where[name][-1])
             continue
-        attributes = m[3] if m[2] else m[6]
         if name in VOID:
             if name == "hr":
                 flush()
-            elif name in ("br", "img"):
-                text.append(" ") if not (stack and stack[-1][2]) else None
+            elif name in ("br", "img") and not top[2]:
+                text.append(" ")
             continue
         if name in BLOCKS:
             flush()
-            if name != "head" and count.get("head") and not any(count.get(t) for t in ("script", "style", "title")):
-                pop_to({"head"})
-            if count.get("p"):
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
-                        pop_to({"p"})
-                        break
-                    if stack[k][0] in BLOCKS:
-                        break
+            if where.get("head") and last(("script", "style", "title")) < 0:
+                cut(where["head"][-1])
+            top = stack[-1] if stack else root
+            if top[4] >= 0 and stack[top[4]][0] == "p":
+                cut(top[4])
         if name in _CLOSES:
             own, barrier = _CLOSES[name]
-            for k in range(len(stack) - 1, max(-1, len(stack) - 64), -1):
-                if stack[k][0] in own:
-                    pop_to({stack[k][0]})
-                    break
-                if stack[k][0] in barrier:
-                    break
+            place = last(own)
+            if place > last(barrier):
+                cut(place)
+        if name in RAW or (attributes.endswith("/") and name not in BLOCKS):
+            continue
         top = stack[-1] if stack else root
         bit = _TAG_BIT.get(name, 0)
         path = top[1] | (1 << bit) | (_class_mask(attributes) if "=" in attributes else 0)
-        hidden = top[2] or name in HIDDEN
-        if name in RAW:
-            close = re.compile(f"</{name}\\b[^>]*>", re.I).search(page, at)
-            at = close.end() if close else n
-            continue
-        if attributes.endswith("/") and name not in BLOCKS:
-            continue
-        stack.append((name, path, hidden, bit if name in BLOCKS else top[3]))
-        count[name] = count.get(name, 0) + 1
+        place = len(stack)
+        where.setdefault(name, []).append(place)
+        stack.append((name, path, top[2] or name in HIDDEN, *((bit, place) if name in BLOCKS else top[3:])))
     flush()
     return out
 
@@ -307,14 +362,17 @@ _SAYS = {
     "ad": "buy now sale off discount offer sponsored click here free shop".split(),
     "side": "related read more popular latest trending share follow us".split(),
 }
-_SYLLABLES = "the er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as de rt ve chen lich ung que eau tion mente ado ción".split()
+#: Consonants and vowels of the alphabets that invented words are spelled in (fixed values), and a script without spaces.
+_LETTERS = (("bcdfghjklmnprstvwz", "aeiouy"), ("bcdfglmnpqrst", "aàeéèioôu"), ("bdfgklmnrstwz", "aäeioöuü"), ("cdglmnrstñz", "aáeéiíoóu"), ("бвгдзклмнпрст", "аеиоуы"), ("βγδκλμνπρστ", "αεηιου"))
+_IDEOGRAPHS = [chr(0x4E00 + 37 * k) for k in range(200)]
 
 
 class PageWriter:
-    """Writes pages in random layouts, main text marked; the same seed writes the same pages."""
+    """Writes pages in random layouts, main text marked; the same seed writes the same pages. Words are spelled at random."""
 
     def __init__(self, seed: int) -> None:
         self.r = np.random.default_rng(seed)
+        self.spelled = [[self.spell(c, v) for _ in range(300)] for c, v in _LETTERS]
 
     def pick(self, xs):
         return xs[int(self.r.integers(len(xs)))]
@@ -322,19 +380,26 @@ class PageWriter:
     def chance(self, p: float) -> bool:
         return self.r.random() < p
 
+    def spell(self, consonants: str, vowels: str) -> str:
+        return "".join(self.pick(consonants) * self.chance(0.8) + self.pick(vowels) + self.pick(consonants) * self.chance(0.4) for _ in range(int(self.r.integers(1, 5))))
+
     def words(self, lo: int, hi: int, kind: str | None = None) -> str:
         n, style = int(self.r.integers(lo, hi + 1)), self.r.random()
-        if style > 0.94:  # a stuttering text
-            return " ".join([self.pick(_SYLLABLES) + self.pick(_SYLLABLES)] * n)
+        known = self.spelled[0] if self.chance(0.5) else self.pick(self.spelled)
+        if style > 0.97:  # no spaces
+            return "".join(self.pick(_IDEOGRAPHS) for _ in range(3 * n)) + "。"
+        if style > 0.91:  # one word again and again
+            return " ".join([self.pick(known)] * n)
+        noise = "".join(self.pick(string.punctuation.replace("<", "").replace("&", "")) * int(self.r.integers(1, 4)) for _ in range(int(self.r.integers(1, 3))))
         out = []
         for _ in range(n):
-            w = "".join(self.pick(_SYLLABLES) for _ in range(int(self.r.integers(1, 5))))
+            w = self.pick(known)
             if kind in _SAYS and self.chance(0.35):
                 w = self.pick(_SAYS[kind])
             if style < 0.08:
-                w = w.upper() + "!!"
+                w = w.upper() + noise
             elif style < 0.16:
-                w += self.pick(["###", "***", "$$$", "%%%", "&amp;&amp;&amp;"])
+                w += noise
             out.append(w)
         text = " ".join(out)
         return text[:1].upper() + text[1:] + (self.pick([".", ".", "", "!", "?"]))
@@ -421,7 +486,54 @@ class PageWriter:
                 parts.append(self.pick([self.ad, self.ad, self.notice, self.side])())
         return f"<{tag}{a}>{''.join(parts)}</{tag}>"
 
+    def bare(self) -> str:
+        """An article in plain blocks: paragraphs, or lines between breaks, with headings and lists."""
+        parts = [f"<{(h := self.pick(['h1', 'h2', 'b', 'div']))}>{MAIN}{self.words(2, 10)}</{h}>"] if self.chance(0.7) else []
+        for _ in range(int(self.r.integers(1, 9))):
+            text, u = MAIN + self.inline(self.words(6, self.pick([20, 60, 120]))), self.r.random()
+            if u < 0.6:
+                parts.append(self.pick([f"<p>{text}</p>", f"<p>{text}", f"<div>{text}</div>", f"{text}<br><br>"]))
+            elif u < 0.75:
+                parts.append(f"<h3>{MAIN}{self.words(1, 7)}</h3><p>{text}</p>")
+            elif u < 0.88:
+                parts.append("<ul>" + "".join(f"<li>{MAIN}{self.inline(self.words(2, 15))}</li>" for _ in range(int(self.r.integers(2, 5)))) + "</ul>")
+            else:
+                parts.append(f"<blockquote>{text}</blockquote>")
+        return "".join(parts)
+
+    def menu(self) -> str:
+        """Links without a name: side by side, or one below the other."""
+        items = [f'<a href="/{k}">{self.words(1, 3)}</a>' for k in range(int(self.r.integers(2, 8)))]
+        return self.pick([" | ".join(items), " ".join(items), "<br>".join(items), "".join(f"<p>{a}</p>" for a in items), "".join(f"<div>{a}</div>" for a in items), "<ul>" + "".join(f"<li>{a}</li>" for a in items) + "</ul>"])
+
+    def notes(self) -> str:
+        """The last lines of a page."""
+        sign = self.pick(["&copy; ", "Copyright ", "(c) ", "© "])
+        return f"{sign}{int(self.r.integers(1996, 2026))} {self.words(1, 5, 'footer' if self.chance(0.4) else None)}"
+
+    def tabled(self) -> str:
+        """A page laid out by tables."""
+        font = lambda x: f'<font size="{int(self.r.integers(1, 4))}">{x}</font>' if self.chance(0.3) else x
+        top = f'<tr><td colspan="{int(self.r.integers(2, 4))}">{self.pick([font(self.words(1, 4)), self.menu(), "<img src=x>" + self.menu()])}</td></tr>' * self.chance(0.8)
+        cells = [f'<td valign="top">{self.bare()}</td>']
+        if self.chance(0.8):
+            cells.insert(int(self.r.integers(2)), f'<td width="{int(self.r.integers(90, 200))}">{self.menu()}{f"<p>{self.words(2, 8, 'side')}</p>" * self.chance(0.3)}</td>')
+        foot = f'<tr><td colspan="2">{self.pick(["", "<hr>", "<center>"])}{font(self.notes())}{" " + self.menu() if self.chance(0.3) else ""}</td></tr>' * self.chance(0.8)
+        return f'<table width="100%">{top}<tr>{"".join(cells)}</tr>{foot}</table>'
+
+    def nameless(self) -> str:
+        """A page of blocks without classes."""
+        wrap = lambda x: f"<div>{x}</div>" if self.chance(0.8) else x
+        top = wrap(self.pick([self.menu(), f"<h2>{self.words(1, 4)}</h2>" + self.menu(), self.menu() + f"<form><input><button>{self.words(1, 1)}</button></form>"])) * self.chance(0.85)
+        side = wrap(f"<h4>{self.words(1, 4, 'side')}</h4>" * self.chance(0.5) + self.menu()) * self.chance(0.4)
+        tail = wrap(self.pick([self.notes(), f"<p>{self.notes()}</p>", f"<small>{self.notes()}</small>", self.menu() + f"<p>{self.notes()}</p>"])) * self.chance(0.85)
+        return top + (side if self.chance(0.5) else "") + wrap(self.bare()) + (side if self.chance(0.5) else "") + tail
+
     def page(self) -> str:
+        kind = self.r.random()
+        if kind < 0.24:
+            body = self.tabled() if kind < 0.11 else self.nameless()
+            return f"<html><head><title>{self.words(1, 5)}</title></head><body>{body}</body></html>"
         top = [f() for f, p in ((self.header, 0.5), (self.nav, 0.7), (self.notice, 0.3), (self.ad, 0.5)) if self.chance(p)]
         middle = [self.main()] if self.chance(0.97) else []
         if self.chance(0.35):
@@ -447,7 +559,7 @@ def lesson(seed: int, pages: int) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 @functools.lru_cache(maxsize=2)
-def trained(seed: int = 7, pages: int = 2400, epochs: int = 9, batch: int = 32) -> BiLstm:
+def trained(seed: int = 7, pages: int = 3200, epochs: int = 10, batch: int = 32) -> BiLstm:
     """The labeller, trained with Adam on generated pages: the same in every process."""
     data, net, rng = lesson(seed, pages), BiLstm(seed), np.random.default_rng(seed)
     data.sort(key=lambda d: len(d[0]))
@@ -511,8 +623,7 @@ def main_text(pages: DataFrame) -> DataFrame:
         net = BiLstm()
         net.p = weights.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 128):
-                part = batch.slice(start, 128)
+            for part in batches_of_bytes(batch, 128):
                 texts = extract(part.column(2).to_pylist(), net)
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=schema)
 
