@@ -1,8 +1,10 @@
 """Chat formatting in budgeted windows (DataFrame functions only).
 
 Turn sizes are summed in two levels (within runs of 64 turn numbers, and over the runs), so that one huge conversation is
-spread over tasks. A turn's running sum chooses its window; a window holds whole turns, repeats the system turn and a
-limited history before its own turns, and masks the repeats: every assistant text is under the loss mask exactly once.
+spread over tasks. A turn's running sum chooses its cell; a cell's whole turns make a window, and the turn that straddles
+its end joins them where the budget allows or makes a window of its own. Each window repeats the system turn and as much
+history as the budget leaves before its own turns, and masks the repeats: every assistant text is under the loss mask
+exactly once.
 """
 
 from __future__ import annotations
@@ -12,10 +14,10 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import WORD
 
-#: Words a window may hold: half for its own turns (the last may straddle), a quarter for history, the rest for the system turn.
+#: Tokens a window may hold, with its system turn and history: half for a cell's whole turns, a quarter at most for history.
 BUDGET = 4096
-#: Words a turn costs beside its text.
-TURN_COST = 4
+#: Tokens a turn costs beside its text; a text costs its words, or a token for each so many bytes if that is more.
+TURN_COST, BYTES = 4, 8
 #: Turn numbers summed together at the first level.
 RUN = 64
 
@@ -40,28 +42,40 @@ def _order() -> list[Column]:
 def windows(conversations: DataFrame, budget: int = BUDGET) -> DataFrame:
     """conversations(conv_id, turn, role, text): conv_id, window, formatted, loss_spans (start, end in code points), tokens.
 
-    Turns are ordered by turn (null first), role, text. Null texts and roles are empty; null ids are one conversation; a
-    turn of more than half the budget makes a window of its own size (nothing is cut); repeated rows are turns of their
-    own; an empty table gives no windows; other columns are not read.
+    A window's tokens stay within the budget, unless the system turn and one turn alone need more (nothing is cut). Turns are
+    ordered by turn (null first), role, text. Null texts and roles are empty; null ids are one conversation; repeated rows
+    are turns of their own; an empty table gives no windows; other columns are not read.
     """
-    own, past = budget // 2, budget // 4
     text, role = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("role"), F.lit(""))
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    rows = rows.withColumns({"_k": F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), "_tok": F.regexp_count("text", F.lit(WORD)).cast("long") + TURN_COST, "_run": F.coalesce(F.floor(F.col("turn") / RUN), F.lit(-(2**62)))})
-    runs = rows.groupBy("_k", "_run").agg(F.sum("_tok").alias("_sum"))
-    before = Window.partitionBy("_k").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = runs.select(F.col("_k"), F.col("_run"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+    size = F.greatest(F.regexp_count("text", F.lit(WORD)).cast("long"), F.ceil(F.octet_length("text") / BYTES)) + TURN_COST
+    rows = rows.withColumns({"_k": F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), "_tok": size, "_run": F.coalesce(F.floor(F.col("turn") / RUN), F.lit(-(2**62)))})
+    runs = rows.groupBy("_k", "_run").agg(F.sum("_tok").alias("_sum"), F.min_by(F.struct("role", "_tok"), F.struct("turn", "role", "text")).alias("_first"))
+    ordered = Window.partitionBy("_k").orderBy("_run")
+    first = F.first("_first").over(ordered)
+    offsets = runs.select("_k", "_run", F.coalesce(F.sum("_sum").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"), F.when(first["role"] == "system", first["_tok"]).otherwise(0).alias("_s"))
     within = Window.partitionBy("_k", "_run").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.join(offsets, ["_k", "_run"]).withColumn("_at", F.col("_off") + F.sum("_tok").over(within) - F.col("_tok"))
-    home = F.floor(F.col("_at") / own)
-    # a turn may be history for the next window only: past is shorter than own
-    reach = F.when(F.col("_at") + past >= (home + 1) * own, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = placed.withColumn("_home", home).withColumn("_w", F.explode(reach))
-    item = F.struct(F.col("_at"), (F.col("_w") == F.col("_home")).alias("own"), F.col("role"), F.col("text"), F.col("_tok"))
-    start = F.min(F.when(F.col("_w") == F.col("_home"), F.col("_at")))
-    packed = spread.groupBy("_k", "_w").agg(F.first("conv_id").alias("conv_id"), start.alias("_start"), F.sort_array(F.collect_list(item)).alias("_turns")).where("_start is not null")
-    packed = packed.withColumn("_turns", F.filter("_turns", lambda t: t["own"] | (t["_at"] >= F.col("_start") - past)))
-    system = placed.where("_at = 0 and role = 'system'").select("_k", F.struct(F.lit(0).cast("long").alias("_at"), F.lit(False).alias("own"), F.col("role"), F.col("text"), F.col("_tok")).alias("_sys"))
+    # a cell's whole turns and the system turn fit the budget; history never reaches back more than a cell
+    placed = placed.withColumn("_cell", F.greatest(F.lit(1), F.least(F.lit(budget // 2), budget - F.col("_s"))))
+    placed = placed.withColumn("_past", F.least(F.lit(budget // 4), F.col("_cell"))).withColumn("_home", F.floor(F.col("_at") / F.col("_cell")))
+    near = F.col("_at") + F.col("_past") >= (F.col("_home") + 1) * F.col("_cell")
+    spread = placed.withColumn("_c", F.explode(F.when(near, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
+    item = F.struct("_at", (F.col("_c") == F.col("_home")).alias("own"), "role", "text", "_tok")
+    cells = spread.groupBy("_k", "_c").agg(F.first("conv_id").alias("conv_id"), F.first("_s").alias("_s"), F.first("_cell").alias("_cell"), F.first("_past").alias("_past"), F.sort_array(F.collect_list(item)).alias("_turns"))
+    cells = cells.withColumn("_own", F.filter("_turns", lambda t: t["own"])).where(F.size("_own") > 0)
+    total = lambda turns: F.aggregate(turns, F.lit(0).cast("long"), lambda n, t: n + t["_tok"])
+    last = F.element_at("_own", -1)
+    parts = (F.size("_own") > 1) & (last["_at"] + last["_tok"] > (F.col("_c") + 1) * F.col("_cell")) & (F.col("_s") + total(F.col("_own")) > budget - budget // 4)
+    one = lambda w, turns: F.struct(w.cast("long").alias("w"), turns.alias("own"))
+    both = F.array(one(2 * F.col("_c"), F.slice("_own", 1, F.size("_own") - 1)), one(2 * F.col("_c") + 1, F.slice("_own", -1, 1)))
+    packed = cells.withColumn("_x", F.explode(F.when(parts, both).otherwise(F.array(one(2 * F.col("_c"), F.col("_own")))))).select("_k", "conv_id", "_s", "_past", "_turns", F.col("_x.w").alias("_w"), F.col("_x.own").alias("_own"))
+    start = F.element_at("_own", 1)["_at"]
+    room = F.least(F.col("_past"), budget - F.col("_s") - total(F.col("_own")))
+    history = F.filter("_turns", lambda t: (t["_at"] < start) & (t["_at"] >= start - room))
+    old = F.transform(history, lambda t: t.withField("own", F.lit(False)))
+    packed = packed.withColumn("_turns", F.concat(old, F.col("_own")))
+    system = placed.where("_at = 0 and role = 'system'").select("_k", F.struct(F.lit(0).cast("long").alias("_at"), F.lit(False).alias("own"), "role", "text", "_tok").alias("_sys"))
     packed = packed.join(system, "_k", "left")
     lacks = F.col("_sys").isNotNull() & (F.element_at("_turns", 1)["_at"] > 0)
     packed = packed.withColumn("_turns", F.when(lacks, F.concat(F.array("_sys"), F.col("_turns"))).otherwise(F.col("_turns")))
@@ -78,8 +92,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET) -> DataFrame:
         lambda acc: acc["s"],
     )
     formatted = F.concat_ws("", F.transform("_parts", lambda p: F.concat(p["h"], p["x"], F.lit(END))))
-    tokens = F.aggregate("_turns", F.lit(0).cast("long"), lambda n, t: n + t["_tok"])
-    return out.select("conv_id", F.col("_w").alias("window"), formatted.alias("formatted"), spans.alias("loss_spans"), tokens.alias("tokens"))
+    return out.select("conv_id", F.col("_w").alias("window"), formatted.alias("formatted"), spans.alias("loss_spans"), total(F.col("_turns")).alias("tokens"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:

@@ -187,6 +187,23 @@ def test_windows_keep_the_budget_and_the_system_turn(spark):
         assert k == 0 or "<|turn|old|" in r["formatted"][30:]
 
 
+@pytest.mark.parametrize("system", [0, 600, 3000, 5000])
+def test_windows_keep_the_budget_with_turns_of_half_of_it(spark, system):
+    """Within the budget, unless the system turn and one turn alone need more."""
+    rng = np.random.default_rng(system)
+    rows = [(1, 0, "system", "be kind " * (system // 2))] * bool(system) + [(1, t, "user" if t % 2 else "assistant", "w " * int(rng.integers(50, 2040))) for t in range(1, 400)]
+    rows += [(2, t, "user", "x" * 60_000 if t == 5 else "y" * 9000) for t in range(12)]
+    table = spark.createDataFrame(rows, CHAT)
+    out = chat.windows(table).collect()
+    for r in out:
+        own, old = r["formatted"].count("<|turn|new|"), r["formatted"].count("<|turn|old|") - r["formatted"].startswith("<|turn|old|system")
+        assert r["tokens"] <= chat.BUDGET or own == 1 and old == 0
+    assert {r["conv_id"]: r["n_turns"] for r in chat.read_back(chat.windows(table)).collect()} == {1: 399 + bool(system), 2: 12}
+    if system < 3000:
+        assert sum(r["tokens"] > chat.BUDGET for r in out) == 1  # one text of 60,000 signs
+        assert sum(r["tokens"] for r in out if r["conv_id"] == 1) > 0.5 * chat.BUDGET * sum(r["conv_id"] == 1 for r in out)
+
+
 def test_chat_of_nothing(spark):
     empty = spark.createDataFrame([], CHAT)
     assert chat.windows(empty).count() == 0 and chat.read_back(chat.windows(empty)).count() == 0
