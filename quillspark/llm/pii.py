@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import ship, stored, tune
+from quillspark.llm.common import batches_of_bytes, ship, stored, tune
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: Kinds the method adds, listed after the base kinds.
@@ -29,7 +29,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]++(?:[ -][0-9]++)*+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_DIGITS = re.compile(r"[^0-9]")
+_DIGITS, _DIGIT = re.compile(r"[^0-9]"), re.compile(r"[0-9]")
 
 
 def luhn(digits: str) -> bool:
@@ -70,12 +70,39 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [(BASE_KINDS[k], s, e) for s, k, e in out]
 
 
-# candidates: one pattern a kind, wide rather than sure
+_MASKED_AT = re.compile(r"[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]++)++")
+
+
+class _Masked:
+    """Addresses with (at) and (dot): found by the (at), then read leftwards; linear in the text."""
+
+    @staticmethod
+    def finditer(text: str) -> Iterator[tuple[int, int]]:
+        last = 0
+        for m in _MASKED_AT.finditer(text):
+            end = m.start() - (text[m.start() - 1 : m.start()] == " ")
+            start = end
+            while start > last and text[start - 1] in _LOCAL:
+                start -= 1
+            if start < end:
+                yield start, m.end()
+            last = m.end()
+
+
+class _Spans:
+    def __init__(self, pattern: str) -> None:
+        self.pattern = re.compile(pattern)
+
+    def finditer(self, text: str) -> Iterator[tuple[int, int]]:
+        return (m.span() for m in self.pattern.finditer(text))
+
+
+# candidates: one pattern a kind, wide rather than sure; identity numbers first, which the wider pattern for numbers would take
 _CANDIDATES = (
-    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+")),
-    ("number", re.compile(r"(?<![0-9A-Za-z])\(?[0-9]++(?:[ ().-]{1,2}[0-9]++)*+")),
-    ("idnum", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
-    ("obfuscated", re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,64}(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{1,64})+")),
+    ("secret", _Spans(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+")),
+    ("idnum", _Spans(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
+    ("number", _Spans(r"(?<![0-9A-Za-z])\(?[0-9]++(?:[ ().-]{1,2}[0-9]++)*+")),
+    ("obfuscated", _Masked),
 )
 #: Cue words of the gazetteer labeler (fixed values).
 CUES = {
@@ -87,6 +114,8 @@ CUES = {
 LABELERS = ("format", "cue", "isolated", "diverse", "checksum", "prose")
 #: Features of the span classifier; candidates it is trained on at most (those with the smallest digests).
 FEATURES, TRAIN = 512, 20_000
+#: Bytes of text scanned at once: a megabyte of digits holds some 80,000 candidates.
+SCAN_BYTES = 1 << 20
 
 
 def _votes(kind: str, span: str, before: str, after: str) -> tuple[int, ...]:
@@ -124,32 +153,27 @@ def _features(kind: str, span: str, before: str, after: str) -> list[int]:
     words = before.lower().split()
     named = (f"k{kind}", f"s{kind}{_shape(span)}", f"n{kind}{min(len(span) // 4, 12)}", f"w{words[-1] if words else ''}", f"v{words[-2] if len(words) > 1 else ''}", f"a{_shape(after[:3])}", f"b{_shape(before[-3:])}")
     votes = 2 * 3 * len(LABELERS)
-    return [votes + zlib.crc32(f.encode()) % (FEATURES - votes) for f in named]
+    return sorted({votes + zlib.crc32(f.encode()) % (FEATURES - votes) for f in named})
 
 
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int, list[int]]]:
     """(kind, start, end, votes in base 3, features) of spans that no base span and no earlier candidate overlaps."""
     out, busy = [], [(s, e) for _, s, e in taken]
-    for k, (kind, pattern) in enumerate(_CANDIDATES):
-        if kind == "obfuscated" and not re.search(r"[\[(](?:at|AT)[\])]", text):
-            continue
-        found = []
-        j = 0
+    for kind, pattern in _CANDIDATES:
+        k, found, j = MORE_KINDS.index(kind), [], 0
         busy.sort()
-        for m in pattern.finditer(text):
-            s, e = m.span()
-            if e - s < 7 or kind == "secret" and not any("0" <= c <= "9" for c in m.group()):
+        for s, e in pattern.finditer(text):
+            if e - s < 7 or kind == "secret" and not _DIGIT.search(text, s, e):
                 continue
             while j < len(busy) and busy[j][1] <= s:
                 j += 1
             if j < len(busy) and busy[j][0] < e:
                 continue
             before, after = text[max(0, s - 40) : s], text[e : e + 8]
-            votes = _votes(kind, m.group()[:200], before, after)
-            code = 0
-            for v in votes:
+            span, code = text[s:e], 0
+            for v in _votes(kind, span, before, after):
                 code = 3 * code + v + 1
-            found.append((k, s, e, code, _features(kind, m.group()[:200], before, after)))
+            found.append((k, s, e, code, _features(kind, span, before, after)))
         out += found
         busy += [(s, e) for _, s, e, _, _ in found]
     out.sort()
@@ -186,8 +210,8 @@ def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tu
     return prior, one, post
 
 
-def _rows_of(kind: np.ndarray, votes: np.ndarray, features: list) -> np.ndarray:
-    """Dense rows of the classifier: one-hot votes, then hashed features."""
+def _rows_of(votes: np.ndarray, features: list) -> np.ndarray:
+    """Dense rows for the bounded training sample: one-hot votes, then hashed features."""
     x = np.zeros((len(votes), FEATURES), dtype=np.float32)
     for j in range(votes.shape[1]):
         x[np.arange(len(votes)), 3 * j + votes[:, j] + 1] = 1
@@ -196,6 +220,15 @@ def _rows_of(kind: np.ndarray, votes: np.ndarray, features: list) -> np.ndarray:
     return x
 
 
+def scores(weights: np.ndarray, codes: np.ndarray, features: pa.ListArray) -> np.ndarray:
+    """Logits of candidates, by adding the weights at their ids: no dense rows, a few bytes a candidate."""
+    votes, out = decode_votes(codes), np.full(len(codes), weights[-1])
+    for j in range(votes.shape[1]):
+        out += weights[3 * j + votes[:, j] + 1]
+    owner = np.repeat(np.arange(len(codes)), np.diff(features.offsets.to_numpy()))
+    return out + np.bincount(owner, weights[features.flatten().to_numpy()], minlength=len(codes))
+
+
 def train(x: np.ndarray, y: np.ndarray, rounds: int = 200, rate: float = 1.0, decay: float = 1e-4) -> np.ndarray:
     """Logistic regression on soft labels by full-batch gradient steps with per-weight scaling; the last weight is the bias."""
     x1 = np.hstack([x, np.ones((len(x), 1), dtype=np.float32)])
@@ -216,13 +249,17 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, cand = [], []
-            for text in batch.column(1):
-                text = text.as_py()
-                found = base_spans(text)
-                base.append([f"{k}:{s}:{e}" for k, s, e in found])
-                cand.append([{"kind": k, "start": s, "end": e, "votes": v, "features": f} for k, s, e, v, f in candidates(text, found)])
-            yield pa.record_batch([batch.column(0), pa.array(base, pa.list_(pa.string())), pa.array(cand, pa.list_(item))], schema=schema)
+            for part in batches_of_bytes(batch, 500, SCAN_BYTES):
+                base, ends, flat = [], [0], []
+                for text in part.column(1):
+                    text = text.as_py()
+                    found = base_spans(text)
+                    base.append([f"{k}:{s}:{e}" for k, s, e in found])
+                    flat += candidates(text, found)
+                    ends.append(len(flat))
+                kind, start, end, votes, features = zip(*flat, strict=True) if flat else ((),) * 5
+                cand = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip((kind, start, end, votes, features), item, strict=True)], fields=list(item))
+                yield pa.record_batch([part.column(0), pa.array(base, pa.list_(pa.string())), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cand).cast(pa.list_(item))], schema=schema)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return source.mapInArrow(work, "doc_id long, base array<string>, cand array<struct<kind:int,start:long,end:long,votes:int,features:array<int>>>")
@@ -242,7 +279,7 @@ def fit(scanned: DataFrame, sample: int = TRAIN) -> dict:
             learned[name] = {"prior": prior, "reliability": {n: [float(one[0, j]), float(one[1, j])] for j, n in enumerate(LABELERS)}}
     rows = flat.orderBy(F.xxhash64("doc_id", "start", "kind"), "doc_id", "start", "kind").limit(sample).collect()
     votes = decode_votes(np.array([r["votes"] for r in rows], dtype=np.int64))
-    x = _rows_of(np.array([r["kind"] for r in rows]), votes, [r["features"] for r in rows])
+    x = _rows_of(votes, [r["features"] for r in rows])
     w = train(x, np.array([posterior[r["kind"], r["votes"]] for r in rows]))
     return {"weights": w, "labelers": learned}
 
@@ -260,14 +297,14 @@ def find(docs: DataFrame, sample: int = TRAIN, threshold: float = 0.5) -> DataFr
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, cand = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            flat = [c for cs in cand for c in cs]
-            x = _rows_of(None, decode_votes(np.array([c["votes"] for c in flat], dtype=np.int64)), [c["features"] for c in flat])
-            good = iter((x @ weights[:-1] + weights[-1] > np.log(threshold / (1 - threshold))).tolist())
             spans = []
-            for bs, cs in zip(base, cand, strict=True):
-                rows = [(int(b.split(":")[1]), order[b.split(":")[0]], b) for b in bs]
-                rows += [(c["start"], order[MORE_KINDS[c["kind"]]], f"{MORE_KINDS[c['kind']]}:{c['start']}:{c['end']}") for c in cs if next(good)]
+            for bs, cs in zip(batch.column(1), batch.column(2), strict=True):
+                rows = [(int(b.split(":")[1]), order[b.split(":")[0]], b) for b in bs.as_py()]
+                if len(cs):
+                    kind, start, end, votes, features = cs.values.flatten()
+                    good = np.flatnonzero(scores(weights, votes.to_numpy(), features) > np.log(threshold / (1 - threshold)))
+                    found = zip(kind.to_numpy()[good].tolist(), start.to_numpy()[good].tolist(), end.to_numpy()[good].tolist(), strict=True)
+                    rows += [(s, order[MORE_KINDS[k]], f"{MORE_KINDS[k]}:{s}:{e}") for k, s, e in found]
                 spans.append([b for _, _, b in sorted(rows)])
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(spans, pa.list_(pa.string()))], schema=schema)
 
