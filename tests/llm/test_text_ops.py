@@ -30,9 +30,10 @@ def tik():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(open(RANKS, "rb").read()), special_tokens={})
 
 
-def test_token_counts_match_the_library(spark, sf, odd, sp):
+@pytest.mark.parametrize("hot_bytes", [0, 20_000, tokens.HOT_BYTES])
+def test_token_counts_match_the_library(spark, sf, odd, sp, hot_bytes):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
-    got = Counter((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in tokens.token_counts(docs, SP).collect())
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in tokens.token_counts(docs, SP, hot_bytes=hot_bytes).collect())
     want = Counter()
     for r in docs.collect():
         t = r["text"] or ""
@@ -52,7 +53,7 @@ def test_token_counts_any_text(text):
 
     data = open(SP, "rb").read()
     model = sentencepiece.SentencePieceProcessor(model_proto=data)
-    assert tokens.count_texts([text], data, memo_size=5) == [len(model.encode(text))]
+    assert sum(tokens.pieces(tokens.pre_tokens(text), data)) == len(model.encode(text))
 
 
 def test_bpe_matches_the_library(spark, sf, odd, tik):
