@@ -1,11 +1,12 @@
 """Exact deduplication with a log-structured merge index of text digests.
 
-Write path: each task keeps a memtable from digest to (smallest key, rows); when full it is flushed as a sorted run with a
-Bloom filter over its digests. Compaction merges, digest range by digest range, the runs of all tasks: a digest that no
-other run's filter holds passes unmerged, the others are merged and keep the smallest identifier. Read path: each row
-looks its digest up under its own run, so that a hot digest is spread over as many keys as runs saw it. Every hit is
-verified byte by byte against the normalised text of the row that stays; rows that fail (digest collisions) are grouped by
-their bytes.
+Write path: each task keeps a memtable from digest to (smallest key, rows); when full it is flushed as a sorted run that
+keeps a Bloom filter over its digests. Incoming digests are tested against the filters of the runs that the task holds, and
+a hit is looked up in its run and counted there, so that a digest is in one run of a task; eight runs merge into one.
+Compaction across tasks reads all runs of a digest range as one sorted stream and keeps the smallest identifier. Read path:
+each row looks its digest up under its own run, so that a hot digest is spread over as many keys as runs saw it. Every hit
+is verified byte by byte against the normalised text of the row that stays; rows that fail (digest collisions) are grouped
+by their bytes.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -21,114 +21,167 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import SPACE, packed, ship, small_side, stored, without_rows
 
-#: Digests a memtable holds before it is flushed: about 30 MB of Python objects.
-MEMTABLE = 100_000
-#: Rows of run entries that one compaction task should get; shards are doubled until they do on average.
-SHARD_ROWS = 200_000
+#: Digests a memtable holds before it is flushed: about 15 MB of Python objects.
+MEMTABLE = 50_000
+#: Runs that merge into one, and digests (of 48 bytes with their values) that a task holds before it writes its runs out.
+TIER, HELD = 8, 2_000_000
 
 
 class Bloom:
-    """A blocked Bloom filter over 16-byte or longer digests: two probes from the digest's own bits, no further hashing."""
+    """A Bloom filter over digests: four probes from the digest's own bits, no further hashing; one bit a bit."""
 
     def __init__(self, n: int, bits_per_key: int = 12) -> None:
         self.m = 1 << max(6, int(np.ceil(np.log2(max(1, n) * bits_per_key))))
-        self.bits = np.zeros(self.m, dtype=bool)
-
-    def _probes(self, digests: list[bytes]) -> tuple[np.ndarray, ...]:
-        raw = np.frombuffer(b"".join((d + b"\0" * 16)[:16] for d in digests), dtype="<u8").reshape(-1, 2)
-        a, b, mask = raw[:, 0], raw[:, 1] | np.uint64(1), np.uint64(self.m - 1)
-        return tuple((a + np.uint64(k) * b) & mask for k in range(4))
-
-    def add(self, digests: list[bytes]) -> Bloom:
-        if digests:
-            for p in self._probes(digests):
-                self.bits[p] = True
+        self.bits = np.zeros(self.m // 8, dtype=np.uint8)
+
+    def _probes(self, digests: np.ndarray) -> Iterator[np.ndarray]:
+        raw = np.zeros((len(digests), 16), np.uint8)
+        wide = digests.view(np.uint8).reshape(len(digests), -1)[:, :16]
+        raw[:, : wide.shape[1]] = wide
+        a, b = raw.view("<u8").T
+        return ((a + np.uint64(k) * (b | np.uint64(1))) & np.uint64(self.m - 1) for k in range(4))
+
+    def add(self, digests: np.ndarray) -> Bloom:
+        for p in self._probes(digests):
+            np.bitwise_or.at(self.bits, p >> np.uint64(3), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8))
         return self
 
-    def may_hold(self, digests: list[bytes]) -> np.ndarray:
-        if not digests:
-            return np.zeros(0, dtype=bool)
-        return np.logical_and.reduce([self.bits[p] for p in self._probes(digests)])
+    def may_hold(self, digests: np.ndarray) -> np.ndarray:
+        out = np.ones(len(digests), dtype=bool)
+        for p in self._probes(digests):
+            out &= (self.bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+        return out
 
 
 class Run:
-    """A sorted immutable run: digests ascending, beside each the smallest identifier and the number of rows."""
+    """A sorted run: digests (fixed bytes) ascending, beside each the smallest identifier and the number of rows, and a filter."""
 
-    def __init__(self, entries: dict[bytes, tuple[int, int]]) -> None:
-        self.digests = sorted(entries)
-        self.values = [entries[d] for d in self.digests]
-        self.filter = Bloom(len(self.digests)).add(self.digests)
+    def __init__(self, digests: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.digests, self.ids, self.counts = digests, ids, counts
+        self.filter = Bloom(len(digests)).add(digests)
 
+    def take(self, digests: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Counts the rows whose digests the run holds; True for them. The filter spares the others the search."""
+        hit = self.filter.may_hold(digests)
+        if hit.any():
+            at = np.searchsorted(self.digests, digests[hit])
+            at[at == len(self.digests)] = 0
+            found = self.digests[at] == digests[hit]
+            hit[hit] = found
+            np.minimum.at(self.ids, at[found], ids[hit])
+            np.add.at(self.counts, at[found], 1)
+        return hit
 
-class MemTable:
-    """digest -> (smallest identifier, rows), until full."""
-
-    def __init__(self, capacity: int = MEMTABLE) -> None:
-        self.capacity, self.entries = capacity, {}
 
-    def put(self, digest: bytes, ident: int, n: int = 1) -> bool:
-        """Adds a row; True if the table is full and should be flushed."""
-        had = self.entries.get(digest)
-        self.entries[digest] = (ident, n) if had is None else (min(had[0], ident), had[1] + n)
-        return len(self.entries) >= self.capacity
+def compact(runs: list[Run]) -> Run:
+    """Merges sorted runs into one: of equal digests the smallest identifier stays, counts add."""
+    digests = np.concatenate([r.digests for r in runs])
+    order = np.argsort(digests, kind="stable")  # merges runs that are sorted
+    digests, ids, counts = digests[order], np.concatenate([r.ids for r in runs])[order], np.concatenate([r.counts for r in runs])[order]
+    first = np.flatnonzero(np.concatenate(([True], digests[1:] != digests[:-1])))
+    return Run(digests[first], np.minimum.reduceat(ids, first), np.add.reduceat(counts, first))
 
-    def flush(self) -> Run:
-        run = Run(self.entries)
-        self.entries = {}
-        return run
 
+class Index:
+    """One task's part: a memtable and its runs."""
 
-def compact(runs: list[Run]) -> Run:
-    """Merges sorted runs, oldest first, into one: smallest identifiers stay, counts add. Filters spare unshared digests the merge."""
-    merged: dict[bytes, tuple[int, int]] = {}
-    for k, run in enumerate(runs):
-        shared = np.zeros(len(run.digests), dtype=bool)
-        for other in runs[:k]:
-            shared |= other.filter.may_hold(run.digests)
-        for digest, (ident, n), hit in zip(run.digests, run.values, shared, strict=True):
-            had = merged.get(digest) if hit else None
-            merged[digest] = (ident, n) if had is None else (min(had[0], ident), had[1] + n)
-    return Run(merged)
-
-
-def _flushes(capacity: int, digest_bytes: int):
+    def __init__(self, capacity: int = MEMTABLE) -> None:
+        self.capacity, self.table, self.runs = capacity, {}, []
+
+    def put(self, digests: np.ndarray, ids: np.ndarray) -> None:
+        start = 0
+        while start < len(ids):
+            stop = start + max(1, self.capacity - len(self.table))
+            own, key = digests[start:stop], ids[start:stop]
+            for run in self.runs:
+                if len(own):
+                    hit = run.take(own, key)
+                    own, key = own[~hit], key[~hit]
+            for d, i in zip(own.tolist(), key.tolist(), strict=True):
+                had = self.table.get(d)
+                self.table[d] = (i, 1) if had is None else (min(had[0], i), had[1] + 1)
+            if len(self.table) >= self.capacity:
+                self.flush()
+            start = stop
+
+    def flush(self) -> None:
+        if self.table:
+            keys = sorted(self.table)
+            values = np.array([self.table[k] for k in keys], dtype=np.int64)
+            width = max(map(len, keys))
+            self.runs.append(Run(np.array(keys, dtype=f"S{width}"), values[:, 0].copy(), values[:, 1].copy()))
+            self.table = {}
+        if len(self.runs) >= TIER:
+            self.runs = [compact(self.runs)]
+
+    def held(self) -> int:
+        return sum(len(r.digests) for r in self.runs)
+
+
+def _fixed(column: pa.Array, width: int) -> np.ndarray:
+    """Digests as fixed bytes. Numpy drops zeros at the end of such bytes; as all are equally long, none is mistaken."""
+    return np.array([d[:width] for d in column.to_pylist()], dtype=f"S{width}")
+
+
+def _flushes(capacity: int, width: int, held: int = HELD):
     """Rows (doc_id, digest) -> the same rows with their run, and the runs' entries (entry = true)."""
     schema = pa.schema([("entry", pa.bool_()), ("run", pa.int64()), ("digest", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64())])
 
-    def emit(entry: bool, run: int, digests: list, ids: list, counts: list) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([entry] * len(ids), pa.bool_()), pa.array([run] * len(ids), pa.int64()), pa.array(digests, pa.binary()), pa.array(ids, pa.int64()), pa.array(counts, pa.int64())], schema=schema)
+    def emit(entry: bool, run: int, digests: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        whole = [d.ljust(width, b"\0") for d in digests.tolist()]
+        return pa.record_batch([pa.array(np.full(len(ids), entry)), pa.array(np.full(len(ids), run)), pa.array(whole, pa.binary()), pa.array(ids), pa.array(counts)], schema=schema)
+
+    def entries(index: Index, run: int) -> Iterator[pa.RecordBatch]:
+        index.flush()
+        if index.runs:
+            one = compact(index.runs)
+            for lo in range(0, len(one.ids), 50_000):
+                yield emit(True, run, *(x[lo : lo + 50_000] for x in (one.digests, one.ids, one.counts)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, table = TaskContext.get().partitionId(), 0, MemTable(capacity)
+        run, index = TaskContext.get().partitionId() << 32, Index(capacity)
         for batch in batches:
-            ids, digests = batch.column(0).to_pylist(), [d[:digest_bytes] for d in batch.column(1).to_pylist()]
-            start = 0
-            for i, (ident, digest) in enumerate(zip(ids, digests, strict=True)):
-                if table.put(digest, ident):
-                    run = (part << 32) | seq
-                    yield emit(False, run, digests[start : i + 1], ids[start : i + 1], [1] * (i + 1 - start))
-                    start, seq, done = i + 1, seq + 1, table.flush()
-                    yield emit(True, run, done.digests, [v[0] for v in done.values], [v[1] for v in done.values])
-            if start < len(ids):
-                yield emit(False, (part << 32) | seq, digests[start:], ids[start:], [1] * (len(ids) - start))
-        if table.entries:
-            run, done = (part << 32) | seq, table.flush()
-            yield emit(True, run, done.digests, [v[0] for v in done.values], [v[1] for v in done.values])
+            ids, digests = batch.column(0).to_numpy(), _fixed(batch.column(1), width)
+            index.put(digests, ids)
+            yield emit(False, run, digests, ids, np.ones(len(ids), np.int64))
+            if index.held() > held:
+                yield from entries(index, run)
+                run, index = run + 1, Index(capacity)
+        yield from entries(index, run)
 
     return work
 
 
-def _compaction(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One digest range: the entries of all runs in; out, for each entry of a digest with several rows, its final values."""
-    runs = []
-    for _, part in pdf.groupby("run", sort=True):
-        runs.append(Run(dict(zip(part["digest"].map(bytes), zip(part["doc_id"].tolist(), part["n"].tolist(), strict=True), strict=True))))
-    while len(runs) > 1:  # size-tiered: eight runs of like age at a time
-        runs = [compact(runs[i : i + 8]) for i in range(0, len(runs), 8)]
-    final = dict(zip(runs[0].digests, runs[0].values, strict=True)) if runs else {}
-    found = [final[bytes(d)] for d in pdf["digest"]]
-    out = pd.DataFrame({"run": pdf["run"], "digest": pdf["digest"], "keep": [v[0] for v in found], "n": [v[1] for v in found]})
-    return out[out["n"] > 1]
+def _compaction(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All runs' entries of a digest range, sorted by digest; out, for each entry of a digest with several rows, its final
+    values. A digest has one entry a run, whatever its rows; only the last digest of a batch waits for the next one."""
+    schema = pa.schema([("run", pa.int64()), ("digest", pa.binary()), ("keep", pa.int64()), ("n", pa.int64())])
+    rest: pa.Table | None = None
+
+    def merged(t: pa.Table) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        raw = np.frombuffer(b"".join(t.column("digest").to_pylist()), np.uint8).reshape(t.num_rows, -1)
+        first = np.flatnonzero(np.concatenate(([True], (raw[1:] != raw[:-1]).any(1))))
+        size = np.diff(np.append(first, t.num_rows))
+        keep, n = (np.repeat(f.reduceat(t.column(c).to_numpy(), first), size) for f, c in ((np.minimum, "doc_id"), (np.add, "n")))
+        several = pa.array(n > 1)
+        columns = [t.column("run").combine_chunks(), t.column("digest").combine_chunks(), pa.array(keep), pa.array(n)]
+        return pa.RecordBatch.from_arrays([c.filter(several) for c in columns], schema=schema)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        t = pa.concat_tables([rest, t]) if rest is not None else t
+        last = t.column("digest")[-1]
+        cut = t.num_rows
+        while cut and t.column("digest")[cut - 1] == last:
+            cut -= 1
+        if cut:
+            yield merged(t.slice(0, cut))
+        rest = t.slice(cut)
+    if rest is not None:
+        yield merged(rest)
 
 
 #: Null ids stand below every other; the contract's ids are never this small.
@@ -139,7 +192,7 @@ def normalised() -> F.Column:
     return F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SPACE, " ")
 
 
-def classes(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def classes(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE) -> DataFrame:
     """docs(doc_id, text, ...): one row each: _id, _digest, _keep (id that stays), _n (rows equal to it), text_sha256.
 
     Null texts are empty texts; null ids count as smaller than all. digest_bytes may be lowered to provoke collisions.
@@ -148,12 +201,8 @@ def classes(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE, s
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), F.unhex(F.sha2(normalised(), 256)).alias("_sha"))
     log = stored(source.mapInArrow(_flushes(memtable, digest_bytes), "entry boolean, run long, digest binary, doc_id long, n long"), "lsmlog")
     entries, rows = log.where("entry").drop("entry"), log.where("not entry").select("run", "digest", "doc_id")
-    total = entries.count()
-    bits = max(0, int(np.ceil(np.log2(max(1, total / shard_rows)))))
-    shards = max(1 << bits, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # digests are uniform, so that their hash deals the ranges evenly; hot digests are one entry a run here
-    ranged = entries.withColumn("_shard", F.pmod(F.hash("digest"), F.lit(shards)))
-    resolved = ranged.groupBy("_shard").applyInPandas(lambda pdf: _compaction(pdf), "run long, digest binary, keep long, n long")
+    # one sorted stream a digest range; hot digests are one entry a run here
+    resolved = entries.repartition("digest").sortWithinPartitions("digest").mapInArrow(_compaction, "run long, digest binary, keep long, n long")
     found = rows.join(resolved, ["run", "digest"], "left")
     return found.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.coalesce("keep", "doc_id").alias("_keep"), F.coalesce("n", F.lit(1)).alias("_n"))
 
@@ -163,12 +212,12 @@ def _texts(docs: DataFrame, digest_bytes: int) -> DataFrame:
     return text.withColumn("_digest", F.substring(F.unhex(F.sha2("_text", 256)), 1, digest_bytes))
 
 
-def verified(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame]:
+def verified(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE) -> tuple[DataFrame, DataFrame]:
     """The index's answer for each row, and for each row in a group whether its bytes are those of the row that stays."""
-    hits = stored(classes(docs, digest_bytes, memtable, shard_rows), "lsmhits")
-    several = hits.where("_n > 1").select("_id", "_digest", "_keep").distinct()
+    hits = stored(classes(docs, digest_bytes, memtable), "lsmhits")
+    several = stored(hits.where("_n > 1").select("_id", "_digest", "_keep").distinct(), "lsmseveral")
     text = _texts(docs, digest_bytes)
-    kept = several.where("_id = _keep").select("_id", "_digest")
+    kept = several.where("_id = _keep").select("_id", "_digest")  # read from the stored table, as small_side counts it first
     # the bytes of the rows that stay, one a digest: of rows with one id and several texts, the smallest text
     keeper = text.join(small_side(kept), ["_id", "_digest"], "left_semi").groupBy("_digest").agg(F.min("_text").alias("_kept_text"))
     # written, so that both sides of the next join are plain exchanges, of which a hot digest's can be split
@@ -179,12 +228,12 @@ def verified(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE,
     return hits, stored(checked, "lsmchecked")
 
 
-def dedup(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def dedup(docs: DataFrame, digest_bytes: int = 32, memtable: int = MEMTABLE) -> DataFrame:
     """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Of rows that share the smallest id and the text, one is kept. Empty tables give no rows; other columns don't matter.
     """
-    hits, checked = verified(docs, digest_bytes, memtable, shard_rows)
+    hits, checked = verified(docs, digest_bytes, memtable)
     lies = checked.where("not _same")
     if digest_bytes >= 32 and lies.limit(1).count() == 0:
         # no digest lied: the index's answer is the answer

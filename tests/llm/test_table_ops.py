@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,7 +109,7 @@ def plain_dedup(rows):
 def test_dedup_matches_brute_force(spark, sf, odd, digest, memtable):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
     docs = docs.unionByName(docs.where("doc_id % 3 = 0").withColumn("doc_id", F.col("doc_id") + 5000))
-    got = Counter(tuple(r) for r in exact_dedup.dedup(docs, digest_bytes=digest, memtable=memtable, shard_rows=50).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect())
+    got = Counter(tuple(r) for r in exact_dedup.dedup(docs, digest_bytes=digest, memtable=memtable).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect())
     assert got == plain_dedup([tuple(r) for r in docs.collect()])
 
 
@@ -121,20 +122,36 @@ def test_deduplicated_rows(odd, empty):
     assert exact_dedup.deduplicated(empty).count() == 0 and exact_dedup.dedup(empty).count() == 0
 
 
-def test_runs_compact_to_the_smallest_identifier():
-    runs, want = [], {}
-    rng = np.random.default_rng(1)
-    table = exact_dedup.MemTable(40)
-    for _ in range(500):
-        k, i = hashlib.sha256(bytes([int(rng.integers(120))])).digest(), int(rng.integers(10_000))
-        want[k] = (min(want.get(k, (i, 0))[0], i), want.get(k, (i, 0))[1] + 1)
-        if table.put(k, i):
-            runs.append(table.flush())
-    runs.append(table.flush())
-    one = exact_dedup.compact(runs)
-    assert dict(zip(one.digests, one.values, strict=True)) == want and one.digests == sorted(want)
-    assert one.filter.may_hold(one.digests).all()
-    assert one.filter.may_hold([hashlib.sha256(b"no%d" % k).digest() for k in range(2000)]).mean() < 0.05
+def digests_of(values):
+    return np.array([hashlib.sha256(b"%d" % v).digest() for v in values], dtype="S32")
+
+
+@pytest.mark.parametrize("capacity", [1, 7, 40, 10_000])
+def test_an_index_holds_each_digest_once_with_its_smallest_identifier(capacity):
+    rng, index, want = np.random.default_rng(1), exact_dedup.Index(capacity), {}
+    for _ in range(20):
+        values, ids = rng.integers(0, 150, 60), rng.integers(0, 10_000, 60)
+        digests = digests_of(values)
+        for d, i in zip(digests.tolist(), ids.tolist(), strict=True):
+            want[d] = (min(want.get(d, (i, 0))[0], i), want.get(d, (i, 0))[1] + 1)
+        index.put(digests, ids)
+    index.flush()
+    seen = [d for r in index.runs for d in r.digests.tolist()]
+    assert len(seen) == len(set(seen)) and len(index.runs) < exact_dedup.TIER
+    one = exact_dedup.compact(index.runs)
+    assert dict(zip(one.digests.tolist(), zip(one.ids.tolist(), one.counts.tolist(), strict=True), strict=True)) == want
+    assert one.digests.tolist() == sorted(want) and one.filter.may_hold(one.digests).all()
+    assert one.filter.may_hold(digests_of(range(1000, 3000))).mean() < 0.05
+
+
+def test_a_task_writes_its_runs_out_and_goes_on(spark):
+    """Digests in several runs of one task, and a digest that spans batches, are merged by the compaction."""
+    schema = pa.schema([("run", pa.int64()), ("digest", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64())])
+    rows = sorted((hashlib.sha256(b"%d" % (k % 30)).digest(), k, 100 - k, 2) for k in range(100))
+    batches = [pa.record_batch([pa.array(c, f.type) for c, f in zip(([r[1] for r in part], [r[0] for r in part], [r[2] for r in part], [r[3] for r in part]), schema, strict=True)], schema=schema) for part in (rows[:1], rows[1:4], rows[4:50], rows[50:])]
+    got = [tuple(r.values()) for b in exact_dedup._compaction(iter(batches)) for r in b.to_pylist()]
+    want = {d: (min(r[2] for r in rows if r[0] == d), 2 * sum(r[0] == d for r in rows)) for d in {r[0] for r in rows}}
+    assert sorted(got) == sorted((r[1], r[0], *want[r[0]]) for r in rows)
 
 
 # chat ----------------------------------------------------------------------------------------------------------------
