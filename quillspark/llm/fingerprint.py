@@ -1,6 +1,6 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs.
 
-A paragraph (a line that is not empty) is hashed to a wide vector: 4 lanes of 64 bits from its bytes, for equality, and 256
+A paragraph (a line that is not empty) is hashed to a wide vector: 8 lanes of 64 bits from its bytes, for equality, and 256
 lanes of 32 bits to which its word pairs add +1 or -1 each, for likeness. A document's fingerprint is the sum of its
 paragraphs' vectors modulo 2^64 and 2^32: the order of paragraphs doesn't matter, and paragraphs can be added to or taken
 from a fingerprint without the rest of the text. The signed lanes are a linear sketch, so that the cosine of two
@@ -15,12 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import ship, tune
+from quillspark.llm.common import batches_of_bytes, ship, small_side, stored, tune
 
-LANES, WIDE = 256, 4
+LANES, WIDE = 256, 8
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -41,19 +41,36 @@ def _powers(n: int, root: int) -> np.ndarray:
 
 
 _BASE = 0x100000001B3 | 1
-_pow = _powers(1 << 16, _BASE)
-_inv = _powers(1 << 16, pow(_BASE, -1, 1 << 64))
+#: Bytes hashed at once; longer texts are read chunk by chunk, with the same tables of powers.
+CHUNK = 1 << 16
+_pow = _powers(CHUNK + 1, _BASE)
+_inv = _powers(CHUNK + 1, pow(_BASE, -1, 1 << 64))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Polynomial hashes modulo 2^64 of the byte ranges [start, end), all at once."""
-    global _pow, _inv
-    if len(data) >= len(_pow):
-        n = 1 << (len(data) + 1).bit_length()
-        _pow, _inv = _powers(n, _BASE), _powers(n, pow(_BASE, -1, 1 << 64))
+def _sums(data: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _pow[: len(data)], out=sums[1:])
-    return _mix((sums[ends] - sums[starts]) * _inv[starts] + (ends - starts).astype(np.uint64) * _ROOT)
+    return sums
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes modulo 2^64 of the byte ranges [start, end), which ascend and don't overlap; memory beside the
+    ranges doesn't grow with the text, nor with a word."""
+    out, at = np.empty(len(starts), dtype=np.uint64), 0
+    while at < len(starts):
+        lo = int(starts[at])
+        stop = max(at + 1, int(np.searchsorted(ends, lo + CHUNK, side="right")))
+        if ends[stop - 1] - lo > CHUNK:  # one long word: piece by piece, each moved to its place
+            total, scale = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+            for piece in range(lo, int(ends[at]), CHUNK):
+                total += _sums(data[piece : min(piece + CHUNK, int(ends[at]))])[-1:] * scale
+                scale *= _pow[CHUNK]
+            out[at] = total[0]
+        else:
+            sums, s, e = _sums(data[lo : int(ends[stop - 1])]), starts[at:stop] - lo, ends[at:stop] - lo
+            out[at:stop] = (sums[e] - sums[s]) * _inv[s]
+        at = stop
+    return _mix(out + (ends - starts).astype(np.uint64) * _ROOT)
 
 
 def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +152,12 @@ def edited_fingerprint(whole: Fingerprint, text: str, edited: str) -> Fingerprin
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text, ...): one fingerprint a row (base64). Null is empty; other columns are not read."""
+    """docs(doc_id, text, ...): one fingerprint a row (base64).
+
+    Null texts are empty, and empty texts have the fingerprint of nothing, all zeros; repeated rows have equal fingerprints,
+    each in a row of its own; null ids stay; an empty table gives no rows; other columns are not read. Texts of any length
+    are read chunk by chunk.
+    """
     ship(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.string())])
 
@@ -146,38 +168,41 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(work, "doc_id long, fingerprint string")
 
 
-#: Rows of one range of ids: a range is sorted and read as a stream by one task.
-RANGE_ROWS = 1000
-#: Ranges at most; beyond it they grow, which a task that streams its sorted range bears.
-RANGES = 1024
+#: Bytes of text of one range of ids at most, on average: a range is sorted and read as a stream by one task.
+RANGE_BYTES = 256 << 20
+#: Cuts at quantiles; between two cuts ranges are equally wide. Partitions at most: beyond it a task streams several ranges.
+CUTS, PARTITIONS = 512, 50_000
 NULL_ID = -(2**63)
 
 
-def with_edits(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+def with_edits(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """docs(doc_id, text, ...): the contract's columns of op8, for each row and the row after it.
 
     Order: doc_id (null first), then text; after the last row comes the first. A single row is its own next. Null texts are
     empty; repeated rows follow one another; an empty table gives no rows; other columns are not read.
-    Ranges of ids are cut at approximate quantiles; the first row of a range also travels to the range before it.
+    Ranges of ids follow the bytes of the table, at least four a shuffle partition; the first row of a range also travels to
+    the range before it.
     """
     spark = docs.sparkSession
     ship(spark)
     table = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = table.select("_id")
-    rows = ids.count()
+    known = table.where(F.col("_id") != NULL_ID)
+    stats = table.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    if rows == 0:
+    if stats["rows"] == 0:
         return spark.createDataFrame([], schema)
-    parts = min(RANGES, max(1, -(-rows // range_rows)))
-    cuts = sorted(set(ids.agg(F.percentile_approx("_id", [k / parts for k in range(1, parts)], 10 * parts).alias("q")).first()["q"])) if parts > 1 else []
-    # a cut opens a range; equal ids never part
-    placed = table.withColumn("_b", _bucket(cuts))
-    firsts = sorted((r["_b"], r["_id"]) for r in placed.select("_b", "_id").groupBy("_b").agg(F.min("_id").alias("_id")).collect())  # one a range
-    back = {firsts[k][1]: firsts[k - 1][0] for k in range(len(firsts))}
-    lead = placed.where(F.col("_id").isin(list(back))).groupBy("_id").agg(F.min("text").alias("text"))
-    opener = F.create_map(*[F.lit(x) for pair in back.items() for x in pair])
-    both = placed.select("_b", "_id", "text", F.lit(0).alias("_tail")).unionByName(lead.select(opener[F.col("_id")].alias("_b"), "_id", "text", F.lit(1).alias("_tail")))
-    dealt = both.repartition(max(len(firsts), int(spark.conf.get("spark.sql.shuffle.partitions"))), "_b").sortWithinPartitions("_b", "_tail", "_id", "text")
+    partitions = min(PARTITIONS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stats["bytes"] // range_bytes)))
+    ranges = max(4 * partitions, -(-stats["bytes"] // range_bytes))
+    coarse = min(CUTS, ranges)
+    cuts = sorted(set(known.agg(F.percentile_approx("_id", [k / coarse for k in range(coarse + 1)], 10 * coarse).alias("q")).first()["q"] or []))
+    # equal ids never part: a range is an interval of ids
+    placed = table.withColumn("_b", _bucket(cuts, -(-ranges // coarse)))
+    firsts = placed.groupBy("_b").agg(F.min("_id").alias("_id"))  # a row for each range: bounded by the bytes
+    order = Window.orderBy("_b")
+    firsts = stored(firsts.select("_id", F.coalesce(F.lag("_b").over(order), F.last("_b").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_to")), "firsts")
+    lead = table.join(small_side(firsts), "_id").groupBy("_id", "_to").agg(F.min("text").alias("text"))
+    both = placed.select("_b", "_id", "text", F.lit(0).alias("_tail")).unionByName(lead.select(F.col("_to").alias("_b"), "_id", "text", F.lit(1).alias("_tail")))
+    dealt = both.repartition(partitions, "_b").sortWithinPartitions("_b", "_tail", "_id", "text")
     out_schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +214,7 @@ def with_edits(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
             sketch = edited_fingerprint(own, text, new)
             return (None if ident == NULL_ID else ident, len(text), hashlib.sha256(new.encode()).hexdigest(), own.text(), sketch.text(), own.likeness(sketch), own.likeness(print_after))
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in batches_of_bytes(whole, 500)):
             done = []
             for b, ident, text, tail in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 text = text.as_py()
@@ -203,15 +228,17 @@ def with_edits(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     return dealt.mapInArrow(work, schema)
 
 
-def _bucket(cuts: list[int]):
-    """The number of cuts at or below _id, by a balanced tree of comparisons."""
+def _bucket(cuts: list[int], fine: int):
+    """The interval between cuts that _id lies in, by a balanced tree of comparisons, and the equally wide part of it."""
     def tree(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
+        if hi - lo <= 1:
+            width = max(1, -(-(cuts[lo + 1] - cuts[lo]) // fine)) if 0 <= lo < len(cuts) - 1 else None
+            base = F.lit((lo + 1) * fine).cast("long")
+            return base if width is None else base + F.floor((F.col("_id") - F.lit(cuts[lo])) / F.lit(width))
         mid = (lo + hi) // 2
-        return F.when(F.col("_id") < cuts[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(F.col("_id") < F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid, hi))
 
-    return tree(0, len(cuts))
+    return tree(-1, len(cuts))
 
 
 def op8_fingerprints(spark, sf_dir: str) -> DataFrame:

@@ -208,8 +208,8 @@ def test_edited_fingerprint_is_the_edited_texts():
 
 def test_fingerprints_in_order(spark, sf, odd):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").where("doc_id >= 20").unionByName(odd.select("doc_id", "text"))
-    for rows in (20, 10_000):
-        got = fingerprint.with_edits(docs, range_rows=rows).collect()
+    for size in (2000, 10_000_000):
+        got = fingerprint.with_edits(docs, range_bytes=size).collect()
         order = sorted(((-(2**63) if r["doc_id"] is None else r["doc_id"]), r["text"] or "") for r in docs.collect())
         want = Counter()
         for k, (i, t) in enumerate(order):
@@ -221,6 +221,49 @@ def test_fingerprints_in_order(spark, sf, odd):
         assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
 
 
+def test_word_hashes_of_chunks_equal_those_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(4)
+    data = np.frombuffer(b" ".join(bytes(rng.integers(97, 123, int(n), dtype=np.uint8)) for n in rng.integers(1, 60, 300)), dtype=np.uint8)
+    starts, ends = fingerprint.words_of(data)
+    want = fingerprint.word_hashes(data, starts, ends)
+    monkeypatch.setattr(fingerprint, "CHUNK", 32)  # words of up to 59 bytes are longer
+    assert (fingerprint.word_hashes(data, starts, ends) == want).all() and len(set(want.tolist())) > 280
+
+
+def true_likeness(a: str, b: str) -> float:
+    """Cosine of the bags of word pairs (a paragraph's first word alone), without any hashing."""
+    def bag(text):
+        out = Counter()
+        for line in text.split("\n"):
+            words = re.findall(r"[^\x20\x09-\x0D]+", line)
+            out.update(zip([None, *words], words, strict=False))
+        return out
+
+    x, y = bag(a), bag(b)
+    scale = (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+    return sum(v * y[k] for k, v in x.items()) / scale if scale else float(a == b)
+
+
+def test_likeness_is_near_the_true_one(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    texts = [r["text"] or "" for r in rows]
+    error, printed = [], [fingerprint.Fingerprint.of(t.encode()) for t in texts]
+    for k, t in enumerate(texts):
+        after = texts[(k + 1) % len(texts)]
+        new = fingerprint.edited_text(t, after)
+        for other, sketch in ((new, fingerprint.Fingerprint.of(new.encode())), (after, printed[(k + 1) % len(texts)])):
+            error.append(printed[k].likeness(sketch) - max(0.0, true_likeness(t, other)))
+    assert abs(np.mean(error)) < 0.04 and np.std(error) < 0.09
+
+
+def test_fingerprints_of_a_text_of_megabytes(spark):
+    text = "x" * 2_000_000 + " " + "word und mehr\n" * 150_000
+    docs = spark.createDataFrame([(1, text), (2, text[::-1]), (None, None)], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in fingerprint.with_edits(docs).collect()}
+    assert out[1]["n_chars"] == out[2]["n_chars"] == len(text) and out[None]["n_chars"] == 0
+    assert out[1]["edited_sha256"] == hashlib.sha256(fingerprint.edited_text(text, text[::-1]).encode()).hexdigest()
+
+
 def test_fingerprints_of_nothing(empty):
     assert fingerprint.with_edits(empty).count() == 0
 
