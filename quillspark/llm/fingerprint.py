@@ -180,7 +180,7 @@ def with_edits(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
 
     Order: doc_id (null first), then text; after the last row comes the first. A single row is its own next. Null texts are
     empty; repeated rows follow one another; an empty table gives no rows; other columns are not read.
-    Ranges of ids follow the bytes of the table, at least four a shuffle partition; the first row of a range also travels to
+    Ranges of ids follow the bytes of the table, at least sixteen a shuffle partition; the first row of a range also travels to
     the range before it.
     """
     spark = docs.sparkSession
@@ -192,7 +192,7 @@ def with_edits(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     if stats["rows"] == 0:
         return spark.createDataFrame([], schema)
     partitions = min(PARTITIONS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stats["bytes"] // range_bytes)))
-    ranges = max(4 * partitions, -(-stats["bytes"] // range_bytes))
+    ranges = max(16 * partitions, -(-stats["bytes"] // range_bytes))
     coarse = min(CUTS, ranges)
     cuts = sorted(set(known.agg(F.percentile_approx("_id", [k / coarse for k in range(coarse + 1)], 10 * coarse).alias("q")).first()["q"] or []))
     # equal ids never part: a range is an interval of ids
