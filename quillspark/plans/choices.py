@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as T
-from quillspark.functions.grants import stage_appeal
+from quillspark.functions.grants import EVERYONE, FOR_EVERYONE, STAGE_WORDS, UNNAMED, stage_appeals
 from quillspark.functions.scores import logit, noisy_or, sigmoid, soft_gate
 from quillspark.operators.blocks import small
 from quillspark.operators.ranking import top_k
@@ -162,11 +162,19 @@ def honorific(spark, d):
     return _opps(spark, d).select("id", (t.rlike(HON) | t.rlike(REC) | award).alias("honorific"))
 
 
-@query("WITH " + OPP + """, t AS (SELECT id, lower(title) AS t FROM o)
-SELECT id, CASE WHEN contains(t, 'all faculty') THEN 0.8 WHEN contains(t, 'early career') THEN 0.9 WHEN contains(t, 'postdoc') OR contains(t, 'fellow') OR contains(t, 'senior') THEN 0.1 ELSE 0.5 END AS early, CASE WHEN contains(t, 'all faculty') THEN 0.7 WHEN contains(t, 'postdoc') OR contains(t, 'fellow') THEN 0.9 WHEN contains(t, 'early career') OR contains(t, 'senior') THEN 0.1 ELSE 0.3 END AS postdoc FROM t""")
+def _sql_has(words) -> str:
+    return "(" + " OR ".join(f"contains(t, '{w}')" for w in words) + ")"
+
+
+_STAGED = ", ".join(f"{_sql_has(words)} AS {s}" for s, words in STAGE_WORDS.items())
+_APPEALS = ", ".join(f"CASE WHEN everyone THEN {FOR_EVERYONE[s]} WHEN NOT ({' OR '.join(STAGE_WORDS)}) THEN {UNNAMED[s]} WHEN {s} THEN 0.9 ELSE 0.1 END::DOUBLE AS {s}" for s in STAGE_WORDS)
+
+
+@query("WITH " + OPP + f""", t AS (SELECT id, lower(title) AS t FROM o), n AS (SELECT id, {_sql_has(EVERYONE)} AS everyone, {_STAGED} FROM t)
+SELECT id, {_APPEALS} FROM n""")
 def career_appeal(spark, d):
     """Appeal by career stage."""
-    return _opps(spark, d).select("id", stage_appeal(F.col("title"), "early").alias("early"), stage_appeal(F.col("title"), "postdoc").alias("postdoc"))
+    return _opps(spark, d).select("id", stage_appeals(F.col("title")).alias("a")).select("id", "a.*")
 
 
 @query("""

@@ -158,13 +158,13 @@ s AS (SELECT id, mech, size, sp, CASE WHEN mech IS NULL AND size IS NULL AND sp
 SELECT id, round(score, 4) AS score, CASE WHEN score >= 0.8 THEN 'Flagship' WHEN score >= 0.55 THEN 'Major' ELSE 'Standard' END AS label FROM z""")
 def prestige(spark, d):
     """Mechanism, size and sponsor, averaged over what is known; nothing known scores a floor."""
-    from quillspark.functions.grants import mechanism_tier
+    from quillspark.functions.grants import activity_tier
 
     k = F.col("p_partkey")
     code = F.element_at(F.array(*[F.lit(x) for x in ("R01", "R21", "K23", "DP2", "", "F31", "Z99")]), (k % 7 + 1).cast("int"))
     amount = F.when(k % 5 != 0, F.col("p_retailprice") * 1000)
     sponsor = F.when(F.col("p_brand").isin("Brand#11", "Brand#22"), 0.7).when(F.col("p_brand") == "Brand#33", 0.55)
-    o = table(spark, d, "part").select(k.alias("id"), mechanism_tier(code).alias("mech"), log_bucket(amount).alias("size"), sponsor.alias("sp"))
+    o = table(spark, d, "part").select(k.alias("id"), activity_tier(code).alias("mech"), log_bucket(amount).alias("size"), sponsor.alias("sp"))
     s = o.withColumn("s", F.round(abstaining_mean([(0.4, F.col("mech")), (0.2, F.col("size")), (0.4, F.col("sp"))], 0.3), 10))
     return s.select("id", F.round("s", 4).alias("score"), band(F.col("s"), (0.8, "Flagship"), (0.55, "Major"), low="Standard").alias("label"))
 

@@ -200,14 +200,14 @@ def phrase_rank(spark, d):
 
 
 @query("""
-WITH v AS (SELECT o_orderkey AS id, CASE CAST(o_orderkey % 5 AS INTEGER) WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T00:00' WHEN 1 THEN 'due ' || strftime(o_orderdate, '%-m/%-d/%Y') WHEN 2 THEN strftime(o_orderdate, '%B %-d, %Y') WHEN 3 THEN strftime(o_orderdate, '%d-%b-%Y') ELSE 'rolling' END AS t, o_orderdate FROM orders)
+WITH v AS (SELECT o_orderkey AS id, CASE CAST(o_orderkey % 5 AS INTEGER) WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 00:00' WHEN 1 THEN 'due ' || strftime(o_orderdate, '%-m/%-d/%Y') WHEN 2 THEN strftime(o_orderdate, '%B %-d, %Y') WHEN 3 THEN strftime(o_orderdate, '%d-%b-%Y') ELSE 'rolling' END AS t, o_orderdate FROM orders)
 SELECT id, CASE WHEN id % 5 = 4 THEN '' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS iso FROM v""")
 def date_parse(spark, d):
     """Dates of four shapes to ISO; empty if there is none."""
     from quillspark.functions.dates import iso_date
 
     k, t = F.col("o_orderkey"), F.col("o_orderdate")
-    shape = F.when(k % 5 == 0, F.concat(F.date_format(t, "yyyy-MM-dd"), F.lit("T00:00"))).when(k % 5 == 1, F.concat(F.lit("due "), F.date_format(t, "M/d/yyyy")))
+    shape = F.when(k % 5 == 0, F.concat(F.date_format(t, "yyyy-MM-dd"), F.lit(" 00:00"))).when(k % 5 == 1, F.concat(F.lit("due "), F.date_format(t, "M/d/yyyy")))
     shape = shape.when(k % 5 == 2, F.date_format(t, "MMMM d, yyyy")).when(k % 5 == 3, F.date_format(t, "dd-MMM-yyyy")).otherwise("rolling")
     return table(spark, d, "orders").select(k.alias("id"), iso_date(shape).alias("iso"))
 

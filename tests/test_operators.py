@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import scores, text
 from quillspark.functions.dates import first_number, iso_date, largest_amount
-from quillspark.functions.grants import mechanism_tier, opportunity_reason, stage_appeal
+from quillspark.functions.grants import activity_tier, opportunity_reason, stage_appeals
 from quillspark.operators import gates, overlap, ranking
 from quillspark.sources import files, sinks
 
@@ -91,8 +91,8 @@ def test_grants(spark):
     lst = lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
     why = lambda k, g, l, t, d: opportunity_reason(lst(*k), lst(*g), lst(*l), F.lit(t), lst(*d), "2024-01-01")
     r = one(
-        spark, tier=mechanism_tier(F.lit("r35")), none=mechanism_tier(F.lit("")), kind=why(["Equipment"], [], [], "", []), both=why(["equipment", "Fellowship"], [], [], "", []), geo=why(["fellowship"], ["Australia"], [], "", []), loc=why(["fellowship"], ["Any"], ["Australia"], "", []),
-        us=why(["fellowship"], ["Australia", "USA"], ["Australia"], "", []), held=why(["fellowship"], [], [], "X (Temporarily Suspended)", []), past=why(["fellowship"], [], [], "", ["2023-01-01", ""]), odd=why(["what"], [], [], "", ["2025-01-01"]), post=stage_appeal(F.lit("Postdocs"), "postdoc"), early=stage_appeal(F.lit("Postdocs"), "early"), every=stage_appeal(F.lit("all faculty"), "mid"),
+        spark, tier=activity_tier(F.lit("r35")), none=activity_tier(F.lit("")), kind=why(["Equipment"], [], [], "", []), both=why(["equipment", "Fellowship"], [], [], "", []), geo=why(["fellowship"], ["Australia"], [], "", []), loc=why(["fellowship"], ["Any"], ["Australia"], "", []),
+        us=why(["fellowship"], ["Australia", "USA"], ["Australia"], "", []), held=why(["fellowship"], [], [], "X (Temporarily Suspended)", []), past=why(["fellowship"], [], [], "", ["2023-01-01", ""]), odd=why(["what"], [], [], "", ["2025-01-01"]), post=stage_appeals(F.lit("Postdocs"))["postdoc"], early=stage_appeals(F.lit("Postdocs"))["early"], every=stage_appeals(F.lit("all faculty"))["mid"],
     )
     assert tuple(r) == (0.85, None, "project_type", "", "geo_non_us", "geo_non_us", "", "suspended", "past_deadline", "unknown_type", 0.9, 0.1, 0.8)
 
@@ -194,3 +194,26 @@ def test_queries_in_blocks(spark):
     want = {q: sum(r % 17 == q for r in range(50)) for q in range(17)}
     for block in (3, 100):
         assert {r["q"]: r["n"] for r in against(rows, queries, "q", F.col("r") % 17 == F.col("q"), fold, block).collect()} == want
+
+
+def test_dates_of_four_shapes(spark):
+    cases = {
+        "2024-05-01": "2024-05-01", "on 2024-05-01.": "2024-05-01", "2024-05-01T00:00": "", "x2024-05-01": "", "12-2024-05-01": "2024-05-01", "3/7/2024": "2024-03-07", "3/7/20245": "",
+        "May 1 2024": "2024-05-01", "May. 1, 2024": "2024-05-01", "May1, 2024": "", "marching 12, 2023": "2023-03-12", "Room 12 2024 or 5-Nov-2022": "2022-11-05", "5 Nov 2022": "2022-11-05",
+        "5-Nov-2022 and 1/2/2023 and 2024-01-02": "2024-01-02", "": "", "rolling": "", "\n7/8/2021": "2021-07-08",
+    }
+    rows = spark.createDataFrame(list(cases.items()), "t string, want string").select("t", "want", iso_date(F.col("t")).alias("got")).collect()
+    assert {r["t"]: r["got"] for r in rows} == cases
+
+
+def test_career_stages_by_all_their_words(spark):
+    rows = {
+        "Outstanding Service Award": {"senior"}, "Lifetime achievement": {"senior"}, "Rising stars under 45": {"early"}, "pre-tenure faculty": {"early"}, "early-to mid-career": {"early", "mid"},
+        "Middle to senior investigators": {"mid", "senior"}, "postdoctoral fellow": {"postdoc"}, "graduate students": {"grad"}, "NAM member": {"senior"}, "within 7 years of a PhD": {"early"},
+    }
+    for text, stages in rows.items():
+        got = one(spark, a=stage_appeals(F.lit(text)))["a"].asDict()
+        assert got == {s: 0.9 if s in stages else 0.1 for s in got}, text
+    assert one(spark, a=stage_appeals(F.lit("All ranks")))["a"].asDict() == {"grad": 0.6, "postdoc": 0.7, "early": 0.8, "mid": 0.8, "senior": 0.8}
+    for text in (None, "", "a prize"):
+        assert one(spark, a=stage_appeals(F.lit(text).cast("string")))["a"].asDict() == {"grad": 0.2, "postdoc": 0.3, "early": 0.5, "mid": 0.5, "senior": 0.5}
