@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Queries of one block: the side that is broadcast.
 BLOCK = 5_000
@@ -25,6 +26,16 @@ def against(rows: DataFrame, queries: DataFrame, key: str, on: Column, fold: Cal
     return reduce(DataFrame.unionByName, done)
 
 
-def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """df marked for broadcast if it has at most `rows` rows, else left to the optimizer."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+#: Bytes of a side that may be broadcast.
+SMALL_BYTES = 8 << 20
+
+
+def small(df: DataFrame, size: int = SMALL_BYTES) -> DataFrame:
+    """df marked for broadcast if its rows take at most `size` bytes (counted now), else left to the optimizer."""
+    width = F.lit(16 * (1 + len(df.columns)))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            width = width + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            width = width + 16 * F.greatest(F.size(f"`{f.name}`"), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(width.cast("long"))).first()[0] or 0) <= size else df

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillspark.sources.shared import written
+
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rn") -> DataFrame:
     """The first k rows of each group; Spark's group limit prunes before the shuffle."""
@@ -24,13 +26,31 @@ def epsilon_argmax(df: DataFrame, keys: list[str], value: str, tie: str, ident:
     return out.where("_pick = 1").drop("_best", "_pick")
 
 
-def average_ranks(df: DataFrame, value: str, keys: list[str] | None = None, name: str = "avg_rank") -> DataFrame:
-    """Ranks with ties averaged: counts per distinct value are summed, so that rows are joined to few values' ranks."""
-    keys = keys or []
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranks = counts.withColumn(name, F.sum("_c").over(upto) - (F.col("_c") - 1) / 2).drop("_c")
-    return df.join(ranks, [*keys, value])
+def in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df with _range: rows dealt by sampled ranges of an order, equal rows together, ranges ascending. Written, so that
+    every later read sees the same ranges."""
+    return written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+
+
+def _before(ranged: DataFrame, amount: Column) -> DataFrame:
+    """(_range, _before): what the ranges before it amount to; a row for each partition."""
+    sums = ranged.groupBy("_range").agg(F.sum(amount).alias("_n"))
+    return F.broadcast(sums.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before")))
+
+
+def numbered(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
+    """Row numbers of a total order over all rows: within ranges, plus the ranges before; no task sees all rows."""
+    ranged = in_ranges(df, order)
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(name, within).join(_before(ranged, F.lit(1)), "_range").withColumn(name, F.col(name) + F.col("_before")).drop("_range", "_before")
+
+
+def average_ranks(df: DataFrame, value: str, name: str = "avg_rank") -> DataFrame:
+    """Ranks with ties averaged: counts per distinct value are summed within ranges of values, rows are joined to them."""
+    ranged = in_ranges(df.groupBy(value).agg(F.count("*").alias("_c")), [F.col(value)])
+    upto = Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = ranged.withColumn("_upto", F.sum("_c").over(upto)).join(_before(ranged, F.col("_c")), "_range")
+    return df.join(ranks.select(value, (F.col("_before") + F.col("_upto") - (F.col("_c") - 1) / 2).alias(name)), value)
 
 
 def streak(df: DataFrame, keys: list[str], order: list[Column], hit: Column, transparent: Column) -> DataFrame:

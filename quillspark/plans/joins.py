@@ -174,9 +174,10 @@ def agreement_merge(spark, d):
 WITH q AS (SELECT item_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS t FROM benchmark), p AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS x FROM documents)
 SELECT item_id, min(doc_id) AS first_doc, count(*) AS n FROM q JOIN p ON contains(x, t) GROUP BY 1""")
 def verbatim_containment(spark, d):
-    """Documents that hold a query text verbatim, letters and digits only: a stated query set against all rows, in blocks."""
+    """Documents that hold a query text verbatim, letters and digits only."""
     from quillspark.functions.text import norm_name
+    from quillspark.operators.containment import containing
 
     q = table(spark, d, "benchmark").select("item_id", norm_name(F.col("text")).alias("t"))
     p = table(spark, d, "documents").select("doc_id", norm_name(F.col("text")).alias("x"))
-    return against(p, q, "item_id", F.col("x").contains(F.col("t")), lambda hits: hits.groupBy("item_id").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n")))
+    return containing(p, "doc_id", "x", q, "item_id", "t").groupBy("item_id").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))

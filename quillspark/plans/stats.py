@@ -82,8 +82,8 @@ SELECT n.topic, n.sub, round(((n + 10 * share) / (nt + 10)) / share, 6) AS lift,
 def shrunk_lift(spark, d):
     """Lift shrunk toward one, and with one row left out."""
     n = activities(spark, d).groupBy("topic", F.col("other_subtopic").alias("sub")).agg(F.count("*").alias("n"))
-    nt, share = F.sum("n").over(Window.partitionBy("topic")), F.sum("n").over(Window.partitionBy("sub")) / F.sum("n").over(Window.partitionBy())
-    n = n.withColumns({"nt": nt, "share": share})
+    by_topic, by_sub = n.groupBy("topic").agg(F.sum("n").alias("nt")), n.groupBy("sub").agg(F.sum("n").alias("ns"))
+    n = n.join(by_topic, "topic").join(by_sub, "sub").join(F.broadcast(n.agg(F.sum("n").alias("all")))).withColumn("share", F.col("ns") / F.col("all"))  # one row
     s = F.col("share")
     return n.select("topic", "sub", F.round(((F.col("n") + 10 * s) / (F.col("nt") + 10)) / s, 6).alias("lift"), F.round(((F.col("n") - 1 + 10 * s) / (F.col("nt") - 1 + 10)) / s, 6).alias("loo_lift"))
 

@@ -191,12 +191,12 @@ a AS (SELECT p, count(DISTINCT doc_id) AS df FROM u GROUP BY 1 HAVING count(DIST
 SELECT p AS phrase, df, CAST(row_number() OVER (ORDER BY df DESC, p) AS INTEGER) AS place FROM a""")
 def phrase_rank(spark, d):
     """Capitalised phrases by document frequency."""
-    from pyspark.sql import Window
+    from quillspark.operators.ranking import numbered
 
     p = F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+ [a-z]+ [a-z]+"), 0))
     u = table(spark, d, "documents").where("lang = 'en'").select("doc_id", p.alias("phrase"))
     a = u.groupBy("phrase").agg(F.countDistinct("doc_id").alias("df")).where("df >= 3")
-    return a.withColumn("place", F.row_number().over(Window.orderBy(F.col("df").desc(), "phrase")))
+    return numbered(a, [F.col("df").desc(), F.col("phrase")]).withColumn("place", F.col("place").cast("int"))
 
 
 @query("""

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.sources.shared import entity
 from quillspark.sources.tables import table
 
 
@@ -37,7 +38,7 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
     return one.select("l_orderkey", "l_linenumber", "r.*")
 
 
-def activities(spark: SparkSession, d: str) -> DataFrame:
+def _activities(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
     line = F.col("l_linenumber")
     sub = lambda n: F.concat(F.col("p_brand"), F.lit("_"), F.lpad(n.cast("string"), 3, "0"))
@@ -51,6 +52,11 @@ def activities(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def activities(spark: SparkSession, d: str) -> DataFrame:
+    """Deduplicated and joined once a session, so that each query's columns and filters reach a scan of the result."""
+    return entity("activities", [f"{d}/{t}.parquet" for t in ("lineitem", "orders", "part")], lambda: _activities(spark, d), spark)
+
+
 ACT = """act AS (
   SELECT l_orderkey AS pmid, l_linenumber AS line, l_suppkey AS person, p_brand AS topic,
          CASE WHEN l_returnflag <> 'N' THEN p_brand || '_' || lpad(CAST(p_size AS VARCHAR), 3, '0') END AS primary_subtopic,

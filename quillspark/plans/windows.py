@@ -54,10 +54,15 @@ WITH o AS (SELECT conv_id, turn, array_to_string(list_slice(string_split(text, '
 r AS (SELECT *, row_number() OVER (PARTITION BY opener ORDER BY conv_id, turn) AS use FROM o)
 SELECT conv_id, turn, opener, CAST(use AS INTEGER) AS use FROM r WHERE use > 2""")
 def opener_cap(spark, d):
-    """Uses of an opener beyond two, in order."""
+    """Uses of an opener beyond two, in order. Uses are counted within runs of conversations, and the runs before are added,
+    so that a hot opener is spread over its runs."""
     o = table(spark, d, "conversations").where("role = 'assistant'").select("conv_id", "turn", F.split("text", " ")[0].alias("opener"))
-    use = F.row_number().over(Window.partitionBy("opener").orderBy("conv_id", "turn"))
-    return o.withColumn("use", use).where("use > 2")
+    o = o.withColumn("run", F.floor(F.col("conv_id") / 512))
+    earlier = Window.partitionBy("opener").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = o.groupBy("opener", "run").agg(F.count("*").alias("n")).select("opener", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    use = F.row_number().over(Window.partitionBy("opener", "run").orderBy("conv_id", "turn"))
+    counted = o.withColumn("use", use).join(runs, ["opener", "run"])
+    return counted.select("conv_id", "turn", "opener", (F.col("use") + F.col("before")).cast("int").alias("use")).where("use > 2")
 
 
 @query(with_sql(ACT) + """
