@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.sources.shared import shared_dir
+from quillspark.sources.shared import delete, shared_dir
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -48,19 +48,15 @@ def drop_stored(df: DataFrame) -> None:
     """Deletes a table of stored() that no later result reads."""
     path = getattr(df, "_quill_path", None)  # none, too, where df is None
     if path:
-        _delete(df.sparkSession, path)
+        delete(df.sparkSession, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
 
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:
         try:
-            _delete(spark, path)
+            delete(spark, path)
         except Exception:  # noqa: BLE001 - the JVM may be gone at exit
             return
 
