@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.text import norm_name, surface_keys, title_tokens
 from quillspark.operators.blocks import against, small
-from quillspark.operators.overlap import best_by, claims, cliques, components, cosine, jaccard, min_card, pair_counts
-from quillspark.operators.ranking import top_k
+from quillspark.operators.overlap import CONTAINED, FLAG_OVERLAP, MERGE_COSINE, MERGE_OVERLAP, best_by, claims, cliques, components, cosine, jaccard, merge_plan, min_card, pair_counts
+from quillspark.operators.ranking import numbered, top_k
+from quillspark.operators.registry import match_or_mint
 from quillspark.plans.registry import query
 from quillspark.plans.views import ACT, MEMBERS, activities, subtopic_members, with_sql
 from quillspark.sources.tables import table
 
-#: Thresholds (fixed values).
-MERGE_OVERLAP, MERGE_COSINE, CONTAINED, FLAG_OVERLAP = 0.40, 0.75, 3.0, 0.60
+#: Overlap from which the components, covers and canonical members of these tables merge; their subtopics overlap little.
+SCALED_OVERLAP = 0.05
 
 PAIRS = """, sz AS (SELECT subtopic, count(*) AS n FROM mem GROUP BY 1),
 pr AS (SELECT x.subtopic AS a, y.subtopic AS b, count(*) AS shared FROM mem x JOIN mem y ON x.pmid = y.pmid AND x.subtopic < y.subtopic GROUP BY 1, 2),
@@ -96,15 +97,37 @@ def _plan(spark, d):
     return p.where("ta <> tb")
 
 
-@query(with_sql(ACT, M) + MEM2 + PAIRS + PLAN + " SELECT a, b, round(overlap, 6) AS overlap, CASE WHEN ratio >= 3 THEN 'parent_child' ELSE 'merge' END AS action FROM pl WHERE crosses AND CASE WHEN ratio >= 3 THEN overlap >= 0.06 ELSE overlap >= 0.05 END")
+#: Each subtopic's description has the vector whose number its brand and size give (vectors are shared by some).
+DESCRIBED = """, sub AS (SELECT DISTINCT subtopic AS s, (CAST(split_part(split_part(subtopic, '#', 2), '_', 1) AS INTEGER) * 50 + CAST(right(subtopic, 3) AS INTEGER)) % 500 AS vec_id FROM mem),
+vp AS (SELECT x.vec_id AS va, y.vec_id AS vb, list_cosine_similarity(x.e, y.e) AS cosine FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 500) x, (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 500) y),
+near AS (SELECT a.s AS a, b.s AS b, round(cosine, 4) AS cosine FROM vp JOIN sub a ON a.vec_id = va JOIN sub b ON b.vec_id = vb WHERE a.s < b.s AND cosine >= 0.75),
+both_ AS (SELECT coalesce(ov.a, near.a) AS a, coalesce(ov.b, near.b) AS b, coalesce(shared, 0) AS shared, cosine FROM ov FULL JOIN near ON ov.a = near.a AND ov.b = near.b),
+al AS (SELECT both_.*, sa.n AS na, sb.n AS nb, shared / least(sa.n, sb.n) AS share, greatest(sa.n, sb.n) / least(sa.n, sb.n) >= 3 AS inside FROM both_ JOIN sz sa ON a = sa.subtopic JOIN sz sb ON b = sb.subtopic WHERE split_part(a, '_', 1) <> split_part(b, '_', 1))"""
+
+
+@query(with_sql(ACT, M) + MEM2 + PAIRS + DESCRIBED + f"""
+SELECT a, b, round(share, 4) AS overlap, cosine, CASE WHEN inside THEN 'parent_child' ELSE 'merge' END AS action, CASE WHEN inside THEN CASE WHEN na >= nb THEN a ELSE b END END AS parent,
+ array_to_string(list_filter([CASE WHEN share >= CASE WHEN inside THEN {FLAG_OVERLAP} ELSE {MERGE_OVERLAP} END THEN 'overlap' END, CASE WHEN cosine IS NOT NULL THEN 'cosine' END], lambda x: x IS NOT NULL), '+') AS signal
+FROM al WHERE share >= CASE WHEN inside THEN {FLAG_OVERLAP} ELSE {MERGE_OVERLAP} END OR cosine IS NOT NULL""")
 def dedup_plan(spark, d):
-    """Cross-topic pairs: very unequal sizes only flag, others merge (thresholds scaled to these tables' overlaps)."""
-    p = _plan(spark, d).withColumn("action", F.when(F.col("ratio") >= CONTAINED, "parent_child").otherwise("merge"))
-    return p.where(F.when(F.col("action") == "parent_child", F.col("overlap") >= 0.06).otherwise(F.col("overlap") >= 0.05)).select("a", "b", F.round("overlap", 6).alias("overlap"), "action")
+    """Cross-topic pairs of subtopics that merge, by overlap or by the cosine of their descriptions, or that are flagged as
+    parent and child."""
+    m = _members(spark, d)
+    size = m.groupBy("subtopic").agg(F.count("*").alias("n"))
+    number = (F.regexp_extract("subtopic", "#([0-9]+)_", 1).cast("int") * 50 + F.substring("subtopic", -3, 3).cast("int")) % 500
+    v = table(spark, d, "embeddings").where("vec_id < 500").select("vec_id", "embedding")  # the descriptions' vectors
+    left, right = v.select(F.col("vec_id").alias("va"), F.col("embedding").alias("ea")), v.select(F.col("vec_id").alias("vb"), F.col("embedding").alias("eb"))
+    alike = against(right, left, "va", F.lit(True), lambda p: p.select("va", "vb", cosine(F.col("ea"), F.col("eb")).alias("cosine")).where(F.col("cosine") >= MERGE_COSINE))
+    sub = size.select("subtopic", number.alias("vec_id"))
+    near = alike.join(sub.select(F.col("subtopic").alias("a"), F.col("vec_id").alias("va")), "va").join(sub.select(F.col("subtopic").alias("b"), F.col("vec_id").alias("vb")), "vb").where("a < b").select("a", "b", F.round("cosine", 4).alias("cosine"))
+    shared = pair_counts(m, "subtopic", "pmid").select("a", "b", "shared").join(near, ["a", "b"], "full").na.fill(0, ["shared"])
+    pairs = shared.join(size.select(F.col("subtopic").alias("a"), F.col("n").alias("size_a")), "a").join(size.select(F.col("subtopic").alias("b"), F.col("n").alias("size_b")), "b")
+    cross = pairs.where(F.substring_index("a", "_", 1) != F.substring_index("b", "_", 1))
+    return merge_plan(cross).select("a", "b", F.round("overlap", 4).alias("overlap"), "cosine", "action", "parent", "signal")
 
 
 def _merge_edges(spark, d):
-    return _plan(spark, d).where("ratio < 3 and overlap >= 0.05").select("a", "b")
+    return _plan(spark, d).where((F.col("ratio") < CONTAINED) & (F.col("overlap") >= SCALED_OVERLAP)).select("a", "b")
 
 
 CC = """
@@ -158,13 +181,14 @@ def family_dupe_scan(spark, d):
 
 
 @query("""
-WITH t AS (SELECT DISTINCT p_name AS id, lower(p_name) AS x FROM part), pat(p) AS (VALUES ('green'), ('red')), h AS (SELECT id, p FROM t JOIN pat ON contains(x, p))
-SELECT DISTINCT x.id AS a, y.id AS b, x.p AS pattern FROM h x JOIN h y ON x.p = y.p AND x.id < y.id""")
+WITH t AS (SELECT DISTINCT p_name AS id, lower(p_name) AS x FROM part), pat(p) AS (VALUES ('green'), ('red')), h AS (SELECT id, p FROM t JOIN pat ON contains(x, p)), m AS (SELECT p, min(id) AS root, count(*) AS n FROM h GROUP BY 1)
+SELECT h.p AS pattern, h.id, m.root, m.n FROM h JOIN m ON h.p = m.p WHERE n > 1""")
 def theme_cap(spark, d):
-    """Ids that share a capped theme word are all adjacent (few distinct names)."""
+    """Ids that share a capped theme word are all adjacent: a clique as its members and its first id, not as its pairs."""
     pats = spark.createDataFrame([("green",), ("red",)], "pattern string")
     h = table(spark, d, "part").select(F.col("p_name").alias("id")).distinct().join(F.broadcast(pats), F.lower("id").contains(F.col("pattern")))
-    return h.select(F.col("id").alias("a"), "pattern").join(h.select(F.col("id").alias("b"), "pattern"), "pattern").where("a < b").select("a", "b", "pattern")
+    m = h.groupBy("pattern").agg(F.min("id").alias("root"), F.count("*").alias("n")).where("n > 1")
+    return h.join(F.broadcast(m), "pattern").select("pattern", "id", "root", "n")
 
 
 @query("""
@@ -224,24 +248,35 @@ def ingest_guard(spark, d):
     return hit.groupBy("incoming").agg(F.min("id").alias("blocked_by"))
 
 
-@query("""
-WITH k AS (SELECT DISTINCT trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS key, p_partkey AS id FROM part),
-reg AS (SELECT key, min(id) AS id FROM k WHERE id <= 40 GROUP BY 1), form AS (SELECT key, count(*) AS n, min(id) AS first FROM k WHERE id > 40 GROUP BY 1),
-j AS (SELECT form.key, n, reg.id FROM form LEFT JOIN reg ON form.key = reg.key), hw AS (SELECT max(id) AS h FROM reg)
-SELECT key, n, coalesce(id, (SELECT h FROM hw) + row_number() OVER (PARTITION BY id IS NULL ORDER BY key)) AS tool_id, id IS NULL AS minted FROM j""")
+#: The registry's rules for these tables: names left out, variants of one tool, and terms that are never folded together.
+DENIED = ("hot plate", "old rod")
+VARIANTS = (("hot gear", "gear class"), ("large gear", "gear class"))
+APART = (("red", "blue"),)
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey AS id, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) AS form FROM part),
+v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id < 16),
+variant(form, class) AS (VALUES {', '.join(str(x) for x in VARIANTS)}),
+reg AS (SELECT id, form FROM p WHERE id <= 12), keys AS (SELECT form AS key, id FROM reg UNION SELECT class, id FROM reg JOIN variant USING (form)), first AS (SELECT key, min(id) AS id FROM keys GROUP BY 1),
+f AS (SELECT form, count(*) AS n, min(id) AS first_id FROM p WHERE id > 12 GROUP BY 1), fk AS (SELECT form, form AS key FROM f UNION SELECT form, class FROM f JOIN variant USING (form)),
+hit AS (SELECT fk.form, fk.key, first.id, (contains(' ' || fk.form || ' ', ' blue ') AND contains(' ' || reg.form || ' ', ' red ')) OR (contains(' ' || fk.form || ' ', ' red ') AND contains(' ' || reg.form || ' ', ' blue ')) AS apart FROM fk JOIN first ON fk.key = first.key JOIN reg ON reg.id = first.id),
+surface AS (SELECT form, min_by(id, key) AS id FROM hit WHERE NOT apart GROUP BY 1),
+open AS (SELECT form, first_id FROM f WHERE form NOT IN {DENIED} AND form NOT IN (SELECT form FROM surface)),
+c AS (SELECT open.form, reg.id, reg.form AS rform, round(list_cosine_similarity(a.e, b.e), 8) AS sim FROM open JOIN v a ON a.vec_id = first_id % 16, reg JOIN v b ON b.vec_id = reg.id % 16),
+nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY form ORDER BY sim DESC, id) AS rn FROM c WHERE sim >= 0.86) WHERE rn = 1),
+near AS (SELECT form, id, (contains(' ' || form || ' ', ' blue ') AND contains(' ' || rform || ' ', ' red ')) OR (contains(' ' || form || ' ', ' red ') AND contains(' ' || rform || ' ', ' blue ')) AS apart FROM nn),
+r AS (SELECT f.form, n, CASE WHEN f.form IN {DENIED} THEN 'denied' WHEN s.id IS NOT NULL THEN 'attached' WHEN near.id IS NOT NULL AND NOT near.apart THEN 'attached' ELSE 'minted' END AS action,
+ CASE WHEN f.form IN {DENIED} THEN NULL WHEN s.id IS NOT NULL THEN 'surface' WHEN near.apart THEN 'kept apart' WHEN near.id IS NOT NULL THEN 'embedding' END AS via, CASE WHEN f.form NOT IN {DENIED} THEN coalesce(s.id, CASE WHEN NOT near.apart THEN near.id END) END AS hit FROM f LEFT JOIN surface s ON f.form = s.form LEFT JOIN near ON f.form = near.form)
+SELECT form AS key, n, action, via, CASE WHEN action = 'minted' THEN (SELECT max(id) FROM reg) + row_number() OVER (PARTITION BY action ORDER BY form) ELSE hit END AS tool_id FROM r""")
 def registry_match(spark, d):
-    """Forms matched to a registry by any of their keys, else minted above the high-water id in order."""
-    p = table(spark, d, "part")
-    k = p.select(F.explode(surface_keys(F.col("p_name"))).alias("key"), F.col("p_partkey").alias("id"), norm_name(F.col("p_name")).alias("form"))
-    reg = k.where("id <= 40").groupBy("key").agg(F.min("id").alias("hit"))
-    high = p.where("p_partkey <= 40").agg(F.max("p_partkey").alias("h"))
-    known = k.where("id <= 40").groupBy("form").agg(F.lit(1).alias("x"))
-    forms = k.where("id > 40").groupBy("form").agg(F.countDistinct("id").alias("n"))
-    hit = k.where("id > 40").select("form", "key").distinct().join(reg, "key").groupBy("form").agg(F.min("hit").alias("hit"))
-    j = forms.join(hit, "form", "left")
-    mint = F.row_number().over(Window.partitionBy(F.col("hit").isNull()).orderBy("form"))
-    # the high-water mark is of the registry's keys
-    return j.withColumn("m", mint).join(F.broadcast(reg.agg(F.max("hit").alias("h")))).select(F.col("form").alias("key"), "n", F.coalesce("hit", F.col("h") + F.col("m")).alias("tool_id"), F.col("hit").isNull().alias("minted"))
+    """Forms matched to a registry or minted: names left out, surface keys and variants, the nearest vector, terms kept apart."""
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_name")
+    v = table(spark, d, "embeddings").where("vec_id < 16").select("vec_id", F.col("embedding").alias("vector"))
+    records = p.where("id <= 12").withColumn("vec_id", F.col("id") % 16).join(v, "vec_id", "left").select("id", F.col("p_name").alias("name"), "vector")
+    forms = p.where("id > 12").groupBy(norm_name(F.col("p_name")).alias("form")).agg(F.count("*").alias("n"), F.min(F.struct("id", "p_name")).alias("f"))
+    mentions = forms.withColumn("vec_id", F.col("f.id") % 16).join(v, "vec_id", "left").select("form", "n", F.col("f.p_name").alias("name"), "vector")
+    return match_or_mint(mentions, records, DENIED, VARIANTS, APART).select(F.col("form").alias("key"), "n", "action", "via", "tool_id")
 
 
 @query("WITH " + VEC + """, fam AS (SELECT vec_id, label, e FROM v WHERE vec_id < 50), t AS (SELECT vec_id, label, e FROM v WHERE vec_id >= 50),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.scores import article_score
@@ -143,26 +144,78 @@ def gate_results(spark, d):
 
 
 @query(with_sql(ACT) + """
-, o AS (SELECT person, topic, count(DISTINCT pmid) AS was FROM act WHERE year <= 1999 GROUP BY 1, 2), n AS (SELECT person, topic, count(DISTINCT pmid) AS now FROM act WHERE year <= 2000 AND pmid % 50 <> 0 GROUP BY 1, 2)
-SELECT 'lost' AS guard, count(*) AS violations FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.person = o.person AND n.topic = o.topic)
-UNION ALL SELECT 'shrunk', count(*) FROM o JOIN n ON o.person = n.person AND o.topic = n.topic WHERE now < was""")
-def publish_guards(spark, d):
-    """Nothing published may be lost or shrink."""
+, o AS (SELECT topic, count(DISTINCT other_subtopic || coalesce(primary_subtopic, '')) AS was FROM act WHERE year <= 1998 GROUP BY 1), n AS (SELECT topic, count(DISTINCT other_subtopic || coalesce(primary_subtopic, '')) AS now FROM act WHERE year <= 1992 AND live GROUP BY 1)
+SELECT o.topic, was, coalesce(now, 0) AS now, CASE WHEN coalesce(now, 0) < 8 THEN 'floor' WHEN was > 0 AND coalesce(now, 0) < was * (1 - 0.34) THEN 'shrunk' ELSE 'publish' END AS verdict FROM o LEFT JOIN n ON o.topic = n.topic""")
+def card_guard(spark, d):
+    """Whether each topic's new cards may replace the old ones: a floor, and a share that may be lost."""
+    cards = F.countDistinct(F.concat("other_subtopic", F.coalesce("primary_subtopic", F.lit(""))))
     a = activities(spark, d)
-    o = a.where("year <= 1999").groupBy("person", "topic").agg(F.countDistinct("pmid").alias("was"))
-    n = a.where("year <= 2000 and pmid % 50 <> 0").groupBy("person", "topic").agg(F.countDistinct("pmid").alias("now"))
-    lost = o.join(n, ["person", "topic"], "left_anti").agg(F.count("*").alias("violations")).select(F.lit("lost").alias("guard"), "violations")
-    shrunk = o.join(n, ["person", "topic"]).where("now < was").agg(F.count("*").alias("violations")).select(F.lit("shrunk").alias("guard"), "violations")
-    return lost.unionByName(shrunk)
+    old, new = a.where("year <= 1998").groupBy("topic").agg(cards.alias("was")), a.where("year <= 1992 and live").groupBy("topic").agg(cards.alias("now"))
+    return old.join(new, "topic", "left").na.fill(0, ["now"]).withColumn("verdict", G.card_verdict(F.col("now"), F.col("was")))
+
+
+@query(with_sql(ACT) + """
+, r AS (SELECT person || '/' || topic AS k, person, topic, pmid, year FROM act),
+o AS (SELECT k, min(topic) AS topic, list_sort(list_distinct(list(pmid))) AS m FROM r WHERE year <= 1997 GROUP BY 1),
+n AS (SELECT k, CASE WHEN min(person) % 13 = 0 THEN 'moved' ELSE min(topic) END AS topic, list_sort(list_distinct(list(pmid))) AS m, min(person) AS p FROM r WHERE year <= 1998 AND pmid % 40 <> 0 AND (year <= 1997 OR person % 3 <> 0) GROUP BY 1),
+add_ AS (SELECT DISTINCT pmid FROM r WHERE year = 1998 AND pmid % 7 <> 0), mint AS (SELECT DISTINCT k FROM r WHERE year = 1998 AND person % 5 <> 0),
+f AS (SELECT 'missing' AS guard, o.k FROM o WHERE k NOT IN (SELECT k FROM n)
+UNION ALL SELECT 'changed', n.k FROM o JOIN n ON o.k = n.k WHERE o.topic <> n.topic
+UNION ALL SELECT 'lost members', n.k FROM o JOIN n ON o.k = n.k WHERE NOT list_has_all(n.m, o.m)
+UNION ALL SELECT 'miscounted', k FROM n WHERE len(m) + CASE WHEN p % 17 = 0 THEN 1 ELSE 0 END <> len(m)
+UNION ALL SELECT 'not minted', k FROM n WHERE k NOT IN (SELECT k FROM o) AND k NOT IN (SELECT k FROM mint)
+UNION ALL SELECT DISTINCT 'foreign members', n.k FROM o JOIN n ON o.k = n.k, unnest(n.m) AS u(x) WHERE NOT list_contains(o.m, x) AND x NOT IN (SELECT pmid FROM add_)
+UNION ALL SELECT 'shrink', 'records' WHERE (SELECT count(*) FROM n) < (SELECT count(*) FROM o))
+SELECT guard, k AS item FROM f""")
+def publish_guards(spark, d):
+    """Why a new version of people's topics may not be published over the old one: each guard with its items."""
+    r = activities(spark, d).select(F.concat_ws("/", "person", "topic").alias("k"), "person", "topic", "pmid", "year")
+    papers = F.sort_array(F.collect_set("pmid")).alias("pmid")
+    old = r.where("year <= 1997").groupBy("k").agg(F.min("topic").alias("topic"), papers).withColumn("n", F.size("pmid"))
+    new = r.where("year <= 1998 and pmid % 40 <> 0 and (year <= 1997 or person % 3 <> 0)").groupBy("k").agg(F.min("topic").alias("topic"), F.min("person").alias("p"), papers)
+    new = new.select("k", F.when(F.col("p") % 13 == 0, "moved").otherwise(F.col("topic")).alias("topic"), "pmid", (F.size("pmid") + F.when(F.col("p") % 17 == 0, 1).otherwise(0)).alias("n"))
+    late = r.where("year = 1998")
+    return G.version_failures(old, new, "k", ["topic"], "pmid", late.where("pmid % 7 <> 0").select("pmid").distinct(), late.where("person % 5 <> 0").select("k").distinct())
 
 
 @query("""
-SELECT c.conv_id, count(*) AS turns, count(CASE WHEN role NOT IN ('user', 'assistant', 'system') THEN 1 END) AS bad_roles, count(CASE WHEN length(text) = 0 THEN 1 END) AS blank,
- CASE WHEN count(CASE WHEN role = 'assistant' THEN 1 END) = 0 THEN 'reject: no answer' WHEN count(*) % 2 = 1 AND count(CASE WHEN role = 'system' THEN 1 END) = 0 THEN 'review: odd' ELSE 'approve' END AS verdict FROM conversations c GROUP BY 1""")
+WITH r AS (SELECT conv_id, CASE CAST(conv_id % 4 AS INTEGER) WHEN 0 THEN 'cwid_abc' || CAST(conv_id AS VARCHAR) WHEN 1 THEN 'cwid_x1' WHEN 2 THEN 'cwid_' ELSE NULL END AS reviewer, max(CASE WHEN role = 'assistant' THEN text END) AS rationale,
+ CASE CAST(conv_id % 3 AS INTEGER) WHEN 0 THEN 'approve' WHEN 1 THEN 'reject' ELSE 'maybe' END AS decision, conv_id % 7 <> 0 AS resolves, conv_id % 5 = 0 AS failed, conv_id % 11 = 0 AS blocks FROM conversations GROUP BY conv_id),
+e AS (SELECT conv_id, list_filter([CASE WHEN NOT regexp_matches(coalesce(reviewer, ''), '^cwid_[a-z]+[0-9]+$') THEN 'reviewer' END, CASE WHEN length(regexp_replace(coalesce(rationale, ''), '^\\s+|\\s+$', '', 'g')) < 40 THEN 'rationale' END, CASE WHEN decision = 'maybe' THEN 'decision' END, CASE WHEN NOT resolves THEN 'artifact' END, CASE WHEN decision = 'approve' AND failed THEN 'failed stages' END, CASE WHEN decision = 'approve' AND blocks THEN 'gate blocks' END], lambda x: x IS NOT NULL) AS errors FROM r)
+SELECT conv_id, len(errors) = 0 AS ok, array_to_string(errors, ';') AS errors FROM e""")
 def review_validation(spark, d):
-    """Approvals with the reason for what is held back."""
-    n = lambda c: F.count(F.when(c, 1))
-    r = F.col("role")
-    g = table(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("turns"), n(~r.isin("user", "assistant", "system")).alias("bad_roles"), n(F.length("text") == 0).alias("blank"), n(r == "assistant").alias("a"), n(r == "system").alias("s"))
-    verdict = F.when(F.col("a") == 0, "reject: no answer").when((F.col("turns") % 2 == 1) & (F.col("s") == 0), "review: odd").otherwise("approve")
-    return g.withColumn("verdict", verdict).drop("a", "s")
+    """Reviews held to every rule of an approval, with what is wrong."""
+    k = F.col("conv_id")
+    r = table(spark, d, "conversations").groupBy("conv_id").agg(F.max(F.when(F.col("role") == "assistant", F.col("text"))).alias("rationale"))
+    reviewer = F.when(k % 4 == 0, F.concat(F.lit("cwid_abc"), k.cast("string"))).when(k % 4 == 1, "cwid_x1").when(k % 4 == 2, "cwid_")
+    decision = F.when(k % 3 == 0, "approve").when(k % 3 == 1, "reject").otherwise("maybe")
+    some = lambda c: F.when(c, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    errors = G.review_errors(reviewer, F.col("rationale"), decision, k % 7 != 0, some(k % 5 == 0), some(k % 11 == 0))
+    return r.select("conv_id", errors.alias("e")).select("conv_id", (F.size("e") == 0).alias("ok"), F.array_join("e", ";").alias("errors"))
+
+
+#: Years before a paper that its lab's window reaches back.
+WINDOW = 3
+
+
+@query(with_sql(ACT) + """
+, au AS (SELECT pmid, person, max(line) AS line, max(year) AS year, max(score) AS s FROM act GROUP BY 1, 2), top AS (SELECT pmid, max(line) AS mx, max(year) AS year, max(s) AS s, max(s) >= 0.9 AS gated, max(s) >= 0.7 AS any_ FROM au GROUP BY 1),
+h AS (SELECT pmid, max_by(person, line) AS head, max(line) AS line FROM au WHERE person % 10 <> 0 GROUP BY 1), p AS (SELECT top.pmid, year, gated, any_, head, line = mx AS senior FROM top LEFT JOIN h ON top.pmid = h.pmid)
+SELECT pmid, head, coalesce(senior, FALSE) AS senior, CASE WHEN head IS NULL THEN 0 ELSE count(*) OVER l - 1 END AS lab_all, CASE WHEN head IS NULL THEN 0 ELSE sum(CASE WHEN gated THEN 1 ELSE 0 END) OVER l - CASE WHEN gated THEN 1 ELSE 0 END END::BIGINT AS lab_core,
+ round(CASE WHEN head IS NULL THEN 0 ELSE (sum(CASE WHEN gated THEN 1 ELSE 0 END) OVER l - CASE WHEN gated THEN 1 ELSE 0 END) / (count(*) OVER l) END, 6) AS lab_rate,
+ CASE WHEN head IS NULL THEN 0 ELSE coalesce((SELECT count(*) FROM p q WHERE q.head = p.head AND q.any_ AND q.year BETWEEN p.year - 3 AND p.year - 1), 0) END AS lab_window FROM p WINDOW l AS (PARTITION BY head)""")
+def lab_features(spark, d):
+    """Of each paper its lab (the last author who isn't staff), whether that is the last author of all, and what else the lab
+    published: papers, those with core evidence and their rate, and such papers in the years before."""
+    au = activities(spark, d).groupBy("pmid", "person").agg(F.max("line").alias("line"), F.max("year").alias("year"), F.max("score").alias("s"))
+    staff = F.col("person") % 10 == 0
+    p = au.groupBy("pmid").agg(F.max("line").alias("mx"), F.max("year").alias("year"), F.max("s").alias("s"), F.max(F.when(~staff, F.struct("line", "person"))).alias("h"))
+    p = p.select("pmid", "year", F.col("h.person").alias("head"), F.coalesce(F.col("h.line") == F.col("mx"), F.lit(False)).alias("senior"), (F.col("s") >= 0.9).cast("int").alias("gated"), (F.col("s") >= 0.7).cast("int").alias("some"))
+    # a lab's sums by year: a few rows a lab, so that no window holds its papers
+    years = p.where("head is not null").groupBy("head", "year").agg(F.count("*").alias("n"), F.sum("gated").alias("g"), F.sum("some").alias("a"))
+    lab = Window.partitionBy("head")
+    years = years.select("head", "year", F.sum("n").over(lab).alias("lab_n"), F.sum("g").over(lab).alias("lab_g"), F.coalesce(F.sum("a").over(lab.orderBy("year").rangeBetween(-WINDOW, -1)), F.lit(0)).alias("lab_window"))
+    out = p.join(years, ["head", "year"], "left")
+    core = F.col("lab_g") - F.col("gated")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return out.select("pmid", "head", "senior", zero(F.col("lab_n") - 1).alias("lab_all"), zero(core).alias("lab_core"), F.round(F.coalesce(core / F.col("lab_n"), F.lit(0.0)), 6).alias("lab_rate"), zero(F.col("lab_window")).alias("lab_window"))

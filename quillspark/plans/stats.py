@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.functions.scores import wilson
+from quillspark.operators.fitting import cross_fitted, evidence_line, joint_logistic, logistic_fit, replicates
 from quillspark.operators.ranking import average_ranks, top_k
 from quillspark.plans.registry import query
 from quillspark.plans.views import ACT, activities, with_sql
@@ -129,53 +130,63 @@ def mrr_recall(spark, d):
 
 
 @query("WITH " + PANEL + f"""
-, b AS (SELECT {BIN} AS x, count(*) AS w, avg(CAST(y AS DOUBLE)) AS y FROM pn GROUP BY 1), m AS (SELECT sum(w) AS w, sum(w * x) AS wx, sum(w * y) AS wy, sum(w * x * x) AS wxx, sum(w * x * y) AS wxy FROM b),
-l AS (SELECT (w * wxy - wx * wy) / (w * wxx - wx * wx) AS slope, (wy - (w * wxy - wx * wy) / (w * wxx - wx * wx) * wx) / w AS base, wy / w AS my FROM m)
-SELECT round(slope, 6) AS slope, round(base, 6) AS base, round(1 - (SELECT sum(w * power(y - (base + slope * x), 2)) FROM b) / (SELECT sum(w * power(y - my, 2)) FROM b), 6) AS r2 FROM l""")
+, t AS (SELECT count(CASE WHEN y = 1 THEN 1 END) AS pn, count(CASE WHEN y = 0 THEN 1 END) AS nn FROM pn), h AS (SELECT {BIN} AS x, count(CASE WHEN y = 1 THEN 1 END) AS ph, count(CASE WHEN y = 0 THEN 1 END) AS nh FROM pn GROUP BY 1),
+b AS (SELECT x, ln(((ph + 0.5) / (t.pn + 1.0)) / ((nh + 0.5) / (t.nn + 1.0))) AS y, 1 / (1 / (ph + 0.5) + 1 / (nh + 0.5)) AS w FROM h, t), m AS (SELECT sum(w) AS sw, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM b),
+l AS (SELECT sum(w * (x - mx) * (y - my)) / sum(w * (x - mx) * (x - mx)) AS slope FROM b, m)
+SELECT round(slope, 6) AS slope, round(my - slope * mx, 6) AS base, round(1 - (SELECT sum(w * power(y - (my - slope * mx + slope * x), 2)) FROM b) / (SELECT sum(w * power(y - my, 2)) FROM b), 6) AS r2 FROM l, m""")
 def weighted_line(spark, d):
-    """Weighted least squares through binned rates."""
+    """A line through binned weights of evidence, weighted by the inverse of their variances, and its weighted R squared."""
     p = F.col("p")
     x = F.when(p < 0.1, 0).when(p < 0.3, 1).when(p < 0.4, 2).when(p < 0.65, 3).when(p < 0.9, 4).otherwise(5)
-    b = _panel(spark, d).groupBy(x.alias("x")).agg(F.count("*").alias("w"), F.avg(F.col("y").cast("double")).alias("y"))
-    s = lambda e: F.sum(F.expr(e))
-    m = b.agg(s("w").alias("w"), s("w*x").alias("wx"), s("w*y").alias("wy"), s("w*x*x").alias("wxx"), s("w*x*y").alias("wxy"), s("w*y*y").alias("wyy"))
-    slope = F.expr("(w*wxy-wx*wy)/(w*wxx-wx*wx)")
-    m = m.withColumn("slope", slope).withColumn("base", F.expr("(wy-slope*wx)/w"))
-    rest = F.expr("wyy - 2*base*wy - 2*slope*wxy + base*base*w + 2*base*slope*wx + slope*slope*wxx")
-    return m.select(F.round("slope", 6).alias("slope"), F.round("base", 6).alias("base"), F.round(1 - rest / F.expr("wyy - wy*wy/w"), 6).alias("r2"))
+    h = _panel(spark, d).groupBy(x.alias("x")).agg(F.count(F.when(F.col("y") == 1, 1)).alias("ph"), F.count(F.when(F.col("y") == 0, 1)).alias("nh"))
+    return evidence_line(h)
+
+
+def _scored(spark, d):
+    return _panel(spark, d).select("doc_id", F.ln(F.col("p") / (1 - F.col("p"))).alias("z"), F.col("y").cast("double").alias("y"), F.col("p"), F.ln(1 + F.col("n_chars")).alias("size"), (F.col("lang") == "en").cast("double").alias("en"))
 
 
 @query()
 def platt_fit(spark, d):
-    """Two-parameter logistic calibration by Newton steps over sums; only six numbers a step reach the driver."""
-    t = _panel(spark, d).select(F.ln(F.col("p") / (1 - F.col("p"))).alias("z"), F.col("y").cast("double").alias("y"))
-    a, b, ridge = 0.0, 0.0, 0.01
-    for _ in range(25):
-        q = 1 / (1 + F.exp(-(F.lit(a) + b * F.col("z"))))
-        w = q * (1 - q)
-        r = t.agg(F.sum(F.col("y") - q).alias("g0"), F.sum((F.col("y") - q) * F.col("z")).alias("g1"), F.sum(w).alias("h0"), F.sum(w * F.col("z")).alias("h1"), F.sum(w * F.col("z") * F.col("z")).alias("h2")).first()
-        if r["h0"] is None:
-            break
-        # a little ridge keeps separable panels finite, and steps are cut to one: far from the optimum Newton overshoots
-        g0, g1, h0, h2 = r["g0"] - ridge * a, r["g1"] - ridge * b, r["h0"] + ridge, r["h2"] + ridge
-        det = h0 * h2 - r["h1"] ** 2
-        da, db = (h2 * g0 - r["h1"] * g1) / det, (h0 * g1 - r["h1"] * g0) / det
-        da, db = max(-1.0, min(1.0, da)), max(-1.0, min(1.0, db))
-        a, b = a + da, b + db
-        if abs(da) + abs(db) < 1e-10:
-            break
+    """Two-parameter logistic calibration; only the sums of each Newton step reach the driver."""
+    a, b = logistic_fit(_scored(spark, d), ["z"], "y", ridge=0.01)
     return spark.createDataFrame([(round(a, 6), round(b, 6))], "intercept double, slope double")
 
 
+@query()
+def offset_fit(spark, d):
+    """The shift of the logit that calibrates best, the slope held at one."""
+    (a,) = logistic_fit(_scored(spark, d), [], "y", offset="z")
+    return spark.createDataFrame([(round(a, 6),)], "shift double")
+
+
+@query()
+def joint_fit(spark, d):
+    """Logistic regression on standardised features; the penalty is chosen by log-loss over folds, all fits in one aggregation a step."""
+    chosen, weights = joint_logistic(_scored(spark, d), ["z", "size", "en"], "y", "doc_id")
+    return spark.createDataFrame([(chosen, *[round(w, 6) for w in weights])], "c double, intercept double, z double, size double, en double")
+
+
+@query()
+def held_out_losses(spark, d):
+    """Log-loss of each calibration on folds that it was not fitted on: raw score, shift, line."""
+    return cross_fitted(_scored(spark, d), "z", "y", "doc_id")
+
+
 @query()
 def bootstrap_ci(spark, d):
-    """Percentile interval of a rate by Poisson bootstrap: each row's weight in a replicate comes from a hash, so that replicates are one aggregation."""
-    reps = F.explode(F.sequence(F.lit(0), F.lit(199)))
-    u = F.pmod(F.xxhash64("doc_id", "rep"), F.lit(1_000_003)) / 1_000_003
-    poisson = F.when(u < 0.367879, 0).when(u < 0.735759, 1).when(u < 0.919699, 2).when(u < 0.981012, 3).when(u < 0.996340, 4).otherwise(5)
-    r = _panel(spark, d).select("doc_id", "y", reps.alias("rep")).withColumn("w", poisson)
-    m = r.groupBy("rep").agg((F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("rate"))
-    return m.agg(F.round(F.percentile("rate", 0.025), 6).alias("lo"), F.round(F.percentile("rate", 0.5), 6).alias("mid"), F.round(F.percentile("rate", 0.975), 6).alias("hi"))
+    """Percentile intervals of a rate, and, over the same replicates, of the difference of two scores' log-losses.
+
+    Poisson bootstrap: a row's weight in a replicate comes from a hash, so that replicates are one aggregation and the
+    difference is paired.
+    """
+    t = _panel(spark, d)
+    base = t.agg(F.avg(F.col("y").cast("double")).alias("base"))  # one row
+    loss = lambda p: -(F.col("y") * F.ln(p) + (1 - F.col("y")) * F.ln(1 - p))
+    t = t.join(F.broadcast(base)).withColumns({"a": loss(F.col("p")), "b": loss(F.least(F.lit(0.99), F.greatest(F.lit(0.01), F.col("base"))))})
+    m = replicates(t, "doc_id", {"rate": F.col("y"), "gain": F.col("a") - F.col("b")}, 200)
+    q = lambda c, at: F.round(F.percentile(c, at), 6)
+    return m.agg(q("rate", 0.025).alias("lo"), q("rate", 0.5).alias("mid"), q("rate", 0.975).alias("hi"), q("gain", 0.025).alias("gain_lo"), q("gain", 0.975).alias("gain_hi"))
 
 
 @query("WITH " + PANEL + """
@@ -202,3 +213,32 @@ def threshold_sweep(spark, d):
     g = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.lit(t).alias("t")) for c, t in grid]))
     rows = _panel(spark, d).select("p", g.alias("g")).select("p", "g.c", "g.t")
     return rows.groupBy("c", "t").agg(F.count(F.when(F.col("p") >= F.col("t"), 1)).alias("hi"), F.count(F.when((F.col("p") >= F.col("c")) & (F.col("p") < F.col("t")), 1)).alias("mid"))
+
+
+#: Queries by category: topics by their number; each expects some people, two rankings answer.
+CATEGORIES = ("topic_match", "topic_decompose", "gap_query", "team_assembly")
+
+
+@query(with_sql(ACT) + """
+, q AS (SELECT topic, person, count(*) AS n, round(sum(score), 6) AS s, bool_or(position = 'first' AND score >= 0.9) AS expected FROM act GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY n DESC, person) AS i, row_number() OVER (PARTITION BY topic ORDER BY s DESC, person) AS j FROM q),
+m AS (SELECT topic, ['topic_match', 'topic_decompose', 'gap_query', 'team_assembly'][1 + CAST(split_part(topic, '#', 2) AS INTEGER) % 4] AS category, coalesce(1.0 / min(CASE WHEN expected THEN i END), 0) AS bm, coalesce(1.0 / min(CASE WHEN expected THEN j END), 0) AS hm,
+ CASE WHEN bool_or(expected) THEN count(CASE WHEN expected AND i <= 10 THEN 1 END) / count(CASE WHEN expected THEN 1 END) ELSE 0 END AS br, CASE WHEN bool_or(expected) THEN count(CASE WHEN expected AND j <= 10 THEN 1 END) / count(CASE WHEN expected THEN 1 END) ELSE 0 END AS hr FROM r GROUP BY 1),
+z AS (SELECT category, CASE WHEN category = 'topic_decompose' THEN 0 ELSE bm END AS bm, CASE WHEN category = 'topic_decompose' THEN 0 ELSE hm END AS hm, CASE WHEN category = 'topic_decompose' THEN 0 ELSE br END AS br, CASE WHEN category = 'topic_decompose' THEN 0 ELSE hr END AS hr FROM m),
+c AS (SELECT category, count(*) AS queries, avg(bm) AS bm, avg(hm) AS hm, avg(br) AS br, avg(hr) AS hr FROM z GROUP BY 1)
+SELECT category, queries, round(bm, 4) AS baseline_mrr, round(hm, 4) AS mrr, round(br, 4) AS baseline_recall, round(hr, 4) AS recall, CASE WHEN category = 'topic_decompose' OR (hm >= bm - 1e-12 AND hr >= br - 1e-12) THEN 'PASS' ELSE 'FAIL' END AS status FROM c""")
+def metric_diff(spark, d):
+    """Reciprocal rank and recall of the first ten by category of query, of two rankings; a category whose answers have no
+    order passes always."""
+    q = activities(spark, d).groupBy("topic", "person").agg(F.count("*").alias("n"), F.round(F.sum("score"), 6).alias("s"), F.bool_or((F.col("position") == "first") & (F.col("score") >= 0.9)).alias("expected"))
+    w = Window.partitionBy("topic")
+    r = q.withColumns({"i": F.row_number().over(w.orderBy(F.col("n").desc(), "person")), "j": F.row_number().over(w.orderBy(F.col("s").desc(), "person"))})
+    number = F.regexp_extract("topic", "#([0-9]+)", 1).cast("int")
+    category = F.get(F.array(*[F.lit(c) for c in CATEGORIES]), number % 4)
+    hit = lambda at: F.try_divide(F.count(F.when(F.col("expected") & (F.col(at) <= 10), 1)), F.count(F.when(F.col("expected"), 1)))
+    first = lambda at: 1.0 / F.min(F.when(F.col("expected"), F.col(at)))
+    m = r.groupBy("topic").agg(*[F.coalesce(f(at), F.lit(0.0)).alias(n) for n, f, at in (("bm", first, "i"), ("hm", first, "j"), ("br", hit, "i"), ("hr", hit, "j"))]).withColumn("category", category)
+    ordered = F.col("category") != "topic_decompose"
+    c = m.groupBy("category").agg(F.count("*").alias("queries"), *[F.avg(F.when(ordered, F.col(x)).otherwise(0.0)).alias(x) for x in ("bm", "hm", "br", "hr")])
+    better = (F.col("hm") >= F.col("bm") - 1e-12) & (F.col("hr") >= F.col("br") - 1e-12)
+    return c.select("category", "queries", F.round("bm", 4).alias("baseline_mrr"), F.round("hm", 4).alias("mrr"), F.round("br", 4).alias("baseline_recall"), F.round("hr", 4).alias("recall"), F.when(~ordered | better, "PASS").otherwise("FAIL").alias("status"))

@@ -22,7 +22,7 @@ def test_matches_sql(name, spark, con):
 
 
 def test_every_other_query_is_known():
-    assert set(QUERIES) - set(ORACLES) == {"clique_cover", "reconcile_claims", "diverse_selection", "penalised_selection", "platt_fit", "bootstrap_ci", "manifest"}
+    assert set(QUERIES) - set(ORACLES) == {"clique_cover", "reconcile_claims", "diverse_selection", "penalised_selection", "platt_fit", "offset_fit", "joint_fit", "held_out_losses", "bootstrap_ci", "manifest"}
 
 
 def test_cliques_are_cliques(spark):
