@@ -161,7 +161,10 @@ def embedded(docs: DataFrame, runs: int) -> DataFrame:
 
 
 def loose_edges(met: DataFrame) -> DataFrame:
-    """met(node, row, minimum): stars (row, root) of the loose groups in each node."""
+    """met(node, row, minimum): stars (row, root) of the loose groups in each node.
+
+    A byte of each minimum travels: of the minima that differ 1 in 256 agree by chance, half a position of 128.
+    """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +172,7 @@ def loose_edges(met: DataFrame) -> DataFrame:
         for t in whole_groups(batches):
             if t.num_rows > 1:
                 rows = t.column("row").to_numpy()
-                low = np.frombuffer(b"".join(t.column("minimum").to_pylist()), dtype="<u2").reshape(-1, TOKENS)
+                low = np.frombuffer(b"".join(t.column("minimum").to_pylist()), dtype=np.uint8).reshape(-1, TOKENS)
                 for g in linked_groups(len(rows), lambda i, rest: (low[rest] == low[i]).sum(1) >= LOOSE * TOKENS):  # noqa: B023
                     if len(g) > 1:
                         root = rows[g].min()
@@ -181,7 +184,19 @@ def loose_edges(met: DataFrame) -> DataFrame:
                 us, vs = [], []
         yield pa.record_batch([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], schema=schema)
 
-    return sorted_groups(met.select("node", "row", "minimum"), "node").mapInArrow(work, "u long, v long")
+    return sorted_groups(_bytes_of(met), "node").mapInArrow(work, "u long, v long")
+
+
+def _bytes_of(met: DataFrame) -> DataFrame:
+    """met(node, row, minimum) with the low byte of each minimum."""
+    schema = pa.schema([("node", pa.int64()), ("row", pa.int64()), ("minimum", pa.binary())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = np.frombuffer(b"".join(batch.column("minimum").to_pylist()), dtype="<u2").astype(np.uint8).reshape(-1, TOKENS)
+            yield pa.record_batch([batch.column("node"), batch.column("row"), pa.array([x.tobytes() for x in low], pa.binary())], schema=schema)
+
+    return met.select("node", "row", "minimum").mapInArrow(work, "node long, row long, minimum binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -263,7 +278,6 @@ def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> tup
     dealt into blocks, and all pairs of blocks are compared.
     """
     level = stored(reps.select("row", F.explode("nodes").alias("node")), "level")
-    low = reps.select("row", "minimum")
     parts, stars, used = [], None, []
     for d in range(depth + 1):
         used.append(level)
@@ -278,7 +292,9 @@ def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> tup
             pairs = level.join(many, "node").withColumn("b", F.pmod(F.xxhash64("node", "row"), halves)).withColumn("x", F.explode(F.sequence(F.lit(0), halves - 1))).where("b <> x")
             parts.append(pairs.select(F.shiftrightunsigned(F.xxhash64("node", F.least("b", "x"), F.greatest("b", "x")), 1).alias("node"), "row"))
             break
-        crowded = stored(level.join(small_side(many), "node").join(low, "row").select("node", "c", "row", "minimum"), "crowded")
+        entries = stored(level.join(small_side(many), "node"), "entries")
+        crowded = stored(entries.join(_minima_of(reps, entries), "row").select("node", "c", "row", "minimum"), "crowded")
+        drop_stored(entries)
         common = stored(common_values(crowded), "common")
         split = stored(_split(crowded.join(small_side(common), "node")), "split")
         drop_stored(crowded)
@@ -295,7 +311,24 @@ def met_sets(reps: DataFrame, node_limit: int = NODE, depth: int = DEPTH) -> tup
     met, stars = stored(out, "met"), None if stars is None else stored(stars.distinct(), "stars")
     for t in used:
         drop_stored(t)
-    return met, stars, d
+    return _once(met), stars, d
+
+
+def _once(met: DataFrame) -> DataFrame:
+    """met(node, row) without the nodes whose sets are those of another node, which runs that repeat a meeting make. Sets are
+    told apart by two 64-bit sums of their hashes."""
+    marks = [F.bit_xor(F.xxhash64("row", F.lit(seed))).alias(f"x{seed}") for seed in (1, 2)]
+    nodes = met.groupBy("node").agg(F.count("*").alias("c"), *marks)
+    kept = stored(nodes.groupBy("c", "x1", "x2").agg(F.min("node").alias("node")).select("node"), "once")
+    out = stored(met.join(small_side(kept), "node", "left_semi"), "metonce")
+    drop_stored(met)
+    drop_stored(kept)
+    return out
+
+
+def _minima_of(reps: DataFrame, rows: DataFrame) -> DataFrame:
+    """reps(row, minimum) of the rows that rows(row) names: the others' minima need not travel to a join."""
+    return reps.select("row", "minimum").join(small_side(stored(rows.select("row").distinct(), "rows")), "row", "left_semi")
 
 
 def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, depth: int = DEPTH, block_sets: int = BLOCK_SETS) -> tuple[DataFrame, DataFrame]:
@@ -314,13 +347,14 @@ def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, dep
     later = stored(owned.where("row <> rep").select("row"), "later")
     reps = stored(table.where("n > 0").select("row", "minimum", "nodes").join(small_side(later), "row", "left_anti"), "reps")
     met, stars, _ = met_sets(reps, node_limit, depth)
-    edges = loose_edges(met.join(reps.select("row", "minimum"), "row"))
+    edges = loose_edges(met.join(_minima_of(reps, met), "row"))
     loose = components(edges if stars is None else edges.unionByName(stars))
     member = loose.select(F.col("node").alias("row"), F.col("root").alias("comp")).unionByName(loose.select(F.col("root").alias("row"), F.col("root").alias("comp")).distinct())
     member = stored(member, "member")
     for t in (met, reps, stars):
         drop_stored(t)
-    sized = stored(table.select("row", "n", "shingles").join(small_side(member), "row").join(owned.select("row", "copies"), "row"), "sized")
+    counted = stored(member.join(owned.select("row", "copies"), "row"), "counted")  # narrow, so that shingles meet one join only
+    sized = stored(table.select("row", "n", "shingles").join(small_side(counted), "row"), "sized")
     partial = group_links(sized, block_sets)
     stars = components(partial.where("row <> root").select(F.col("row").alias("u"), F.col("root").alias("v")).distinct())
     links = partial.groupBy("row").agg(F.sum("links").alias("links"))
@@ -329,7 +363,7 @@ def classes(docs: DataFrame, recall: float = RECALL, node_limit: int = NODE, dep
     drop_stored(partial)
     joined = owned.join(small_side(answer), "rep", "left").select("row", "doc_id", F.coalesce("root", "rep").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     joined = stored(joined, "joined")
-    for t in (firsts, owned, later, answer, member):
+    for t in (firsts, owned, later, answer, member, counted):
         drop_stored(t)
     several = joined.where("links > 0")  # a class of one row has no links
     heads = stored(several.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("head"), F.count("*").alias("size")), "heads")
