@@ -61,8 +61,8 @@ def joined(spark, rows: list, **options) -> dict[int, tuple[int, int]]:
     return {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ngram_join.join(docs, **options).collect()}
 
 
-@pytest.mark.parametrize("share", [2 / 3, 0.82])
-def test_pairs_under_a_hot_passage_meet(spark, share, n=6000):
+@pytest.mark.parametrize("share,n", [(2 / 3, 6000), (0.82, 1600)])
+def test_pairs_under_a_hot_passage_meet(spark, share, n):
     """Similarity 0.5 and 0.7 of all texts; nodes above the production limit."""
     rows, pairs = around_a_passage(n, share)
     out = joined(spark, rows)
@@ -94,7 +94,7 @@ def test_deltas_and_blocks_give_the_same_links(spark, dear, monkeypatch):
 def test_what_the_exact_step_reads_grows_with_the_texts(spark):
     """Buckets of the exact step: in proportion to the number of texts around one passage, not to its square."""
     counts = []
-    for n in (1500, 6000):
+    for n in (700, 2800):
         rows, _ = around_a_passage(n, 0.82)
         sets = [ngram_join.shingles(t) for _, t in rows]
         frame = pd.DataFrame({"comp": 1, "row": range(n), "n": [len(s) for s in sets], "copies": 1, "shingles": [s.tobytes() for s in sets]})

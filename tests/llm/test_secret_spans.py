@@ -37,14 +37,14 @@ def test_scores_equal_dense_rows():
     assert len(found) >= 3 and np.allclose(pii.scores(weights, codes, pa.array(features, pa.list_(pa.int32()))), dense)
 
 
-def test_megabytes_of_numbers_take_bounded_memory(spark):
-    text = ",".join(f"{k:011d}" for k in range(200_000))
+def test_a_megabyte_of_numbers_takes_bounded_memory(spark):
+    text = ",".join(f"{k:011d}" for k in range(80_000))
     tracemalloc.start()
     start = time.perf_counter()
     found = pii.candidates(text, pii.base_spans(text))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert len(found) == 200_000 and peak < 300e6 and time.perf_counter() - start < 120
+    assert len(found) == 80_000 and peak < 120e6 and time.perf_counter() - start < 120
     docs = spark.createDataFrame([(1, text), (2, "token " + "aB3" * 3400)], "doc_id long, text string")
     assert {r["doc_id"] for r in pii.find(docs).collect()} == {1, 2}
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, exact_dedup, mixing, ngram_join
+from quillspark.llm import chat, exact_dedup, group_links, mixing, ngram_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -329,4 +329,4 @@ def test_intersections():
     a = [np.unique(rng.integers(0, 90, n).astype(np.uint32)) for n in (0, 5, 60, 80)]
     b = [np.unique(rng.integers(0, 90, n).astype(np.uint32)) for n in (3, 70)]
     want = [[len(set(x) & set(y)) for y in b] for x in a]
-    assert ngram_join.intersections(a, b).tolist() == want
+    assert group_links.intersections(a, b).tolist() == want
