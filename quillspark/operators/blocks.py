@@ -20,6 +20,8 @@ def against(rows: DataFrame, queries: DataFrame, key: str, on: Column, fold: Cal
     queries one by one (its groups don't span queries).
     """
     n = queries.count()
+    # the comparisons are the work, not the bytes: few files of rows would leave them to few tasks
+    rows = rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     parts = max(1, -(-n // block))
     part = F.pmod(F.xxhash64(key), F.lit(parts))
     done = [fold(rows.join(F.broadcast(queries.where(part == k) if parts > 1 else queries), on)) for k in range(parts)]

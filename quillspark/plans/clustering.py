@@ -10,6 +10,7 @@ from quillspark.operators.blocks import against, small
 from quillspark.operators.overlap import CONTAINED, FLAG_OVERLAP, MERGE_COSINE, MERGE_OVERLAP, best_by, claims, cliques, components, cosine, jaccard, merge_plan, min_card, pair_counts
 from quillspark.operators.ranking import numbered, top_k
 from quillspark.operators.registry import match_or_mint
+from quillspark.operators.vectors import alike_pairs
 from quillspark.plans.registry import query
 from quillspark.plans.views import ACT, MEMBERS, activities, subtopic_members, with_sql
 from quillspark.sources.tables import table
@@ -65,8 +66,8 @@ SELECT a, b, label_a, label_b, round(sim, 5) AS sim, sim >= 0.3 AS clone FROM p
 def near_clones(spark, d):
     """Pairs of alike vectors, whatever their labels, down to a tenth below the threshold. All pairs are compared, block by block: work grows with the table's square."""
     v = _vectors(spark, d)
-    a, b = v.select(F.col("vec_id").alias("a"), F.col("label").alias("label_a"), F.col("embedding").alias("ea")), v.select(F.col("vec_id").alias("b"), F.col("label").alias("label_b"), F.col("embedding").alias("eb"))
-    p = against(b, a, "a", F.col("a") < F.col("b"), lambda pairs: pairs.withColumn("sim", cosine(F.col("ea"), F.col("eb"))).where("sim >= 0.2"))
+    label = lambda k: v.select(F.col("vec_id").alias(k), F.col("label").alias(f"label_{k}"))
+    p = alike_pairs(v, "vec_id", "embedding", 0.2 - 1e-12).join(small(label("a")), "a").join(small(label("b")), "b")
     return p.select("a", "b", "label_a", "label_b", F.round("sim", 5).alias("sim"), (F.col("sim") >= 0.3).alias("clone"))
 
 
@@ -116,8 +117,8 @@ def dedup_plan(spark, d):
     size = m.groupBy("subtopic").agg(F.count("*").alias("n"))
     number = (F.regexp_extract("subtopic", "#([0-9]+)_", 1).cast("int") * 50 + F.substring("subtopic", -3, 3).cast("int")) % 500
     v = table(spark, d, "embeddings").where("vec_id < 500").select("vec_id", "embedding")  # the descriptions' vectors
-    left, right = v.select(F.col("vec_id").alias("va"), F.col("embedding").alias("ea")), v.select(F.col("vec_id").alias("vb"), F.col("embedding").alias("eb"))
-    alike = against(right, left, "va", F.lit(True), lambda p: p.select("va", "vb", cosine(F.col("ea"), F.col("eb")).alias("cosine")).where(F.col("cosine") >= MERGE_COSINE))
+    half = alike_pairs(v, "vec_id", "embedding", MERGE_COSINE).select(F.col("a").alias("va"), F.col("b").alias("vb"), F.col("sim").alias("cosine"))
+    alike = half.unionByName(half.select(F.col("vb").alias("va"), F.col("va").alias("vb"), "cosine")).unionByName(v.select(F.col("vec_id").alias("va"), F.col("vec_id").alias("vb"), F.lit(1.0).alias("cosine")))
     sub = size.select("subtopic", number.alias("vec_id"))
     near = alike.join(sub.select(F.col("subtopic").alias("a"), F.col("vec_id").alias("va")), "va").join(sub.select(F.col("subtopic").alias("b"), F.col("vec_id").alias("vb")), "vb").where("a < b").select("a", "b", F.round("cosine", 4).alias("cosine"))
     shared = pair_counts(m, "subtopic", "pmid").select("a", "b", "shared").join(near, ["a", "b"], "full").na.fill(0, ["shared"])
