@@ -110,12 +110,12 @@ def signal_report(spark, d):
 
 
 @query(with_sql(ACT) + """
-, was AS (SELECT DISTINCT topic, pmid FROM act WHERE year <= 1998 AND score >= 0.5), now AS (SELECT DISTINCT topic, pmid FROM act WHERE year <= 1998 AND score >= 0.6),
+, was AS (SELECT DISTINCT topic, pmid FROM act WHERE score >= 0.5), now AS (SELECT DISTINCT topic, pmid FROM act WHERE score >= 0.6),
 s AS (SELECT w.topic, count(*) AS before, count(CASE WHEN n.pmid IS NULL THEN 1 END) AS stale FROM was w LEFT JOIN now n ON w.topic = n.topic AND w.pmid = n.pmid GROUP BY 1)
 SELECT topic, before, stale, stale / before <= 0.5 AS demote FROM s""")
 def stale_demotion(spark, d):
     """Rows surfaced before and not now; refused if too large a share would go."""
-    a = activities(spark, d).where("year <= 1998")
+    a = activities(spark, d)
     was, now = a.where("score >= 0.5").select("topic", "pmid").distinct(), a.where("score >= 0.6").select("topic", "pmid").distinct().withColumn("n", F.lit(1))
     s = was.join(now, ["topic", "pmid"], "left").groupBy("topic").agg(F.count("*").alias("before"), F.count(F.when(F.col("n").isNull(), 1)).alias("stale"))
     return s.withColumn("demote", F.col("stale") / F.col("before") <= 0.5)

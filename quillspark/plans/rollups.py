@@ -178,10 +178,10 @@ def live_attribution(spark, d):
     return rows.join(live, ["person", "pmid"], "left").where("hit or person is null").groupBy("person", "topic").agg(F.count("*").alias("n"))
 
 
-@query(with_sql(ACT) + "SELECT person, topic, pmid, score, lpad(CAST(CAST(least(floor(score * 1000), 9999) AS INTEGER) AS VARCHAR), 4, '0') || '#' || CAST(pmid AS VARCHAR) AS sk, CAST(lpad(CAST(CAST(least(floor(score * 1000), 9999) AS INTEGER) AS VARCHAR), 4, '0') AS INTEGER) AS back FROM act WHERE line = 1")
+@query(with_sql(ACT) + "SELECT person, topic, pmid, score, lpad(CAST(CAST(least(floor(score * 1000), 9999) AS INTEGER) AS VARCHAR), 4, '0') || '#' || CAST(pmid AS VARCHAR) AS sk, CAST(lpad(CAST(CAST(least(floor(score * 1000), 9999) AS INTEGER) AS VARCHAR), 4, '0') AS INTEGER) AS back FROM act")
 def sort_key_codec(spark, d):
     """Score to sort key and back."""
-    a = activities(spark, d).where("line = 1")
+    a = activities(spark, d)
     sk = F.concat(sort_key(F.col("score")), F.lit("#"), F.col("pmid").cast("string"))
     return a.select("person", "topic", "pmid", "score", sk.alias("sk")).withColumn("back", F.split("sk", "#")[0].cast("int"))
 

@@ -66,11 +66,11 @@ def opener_cap(spark, d):
 
 
 @query(with_sql(ACT) + """
-, l AS (SELECT pmid, person, score FROM act WHERE line = 1)
+, l AS (SELECT pmid, person, score FROM act)
 SELECT pmid, person, CAST(rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS DOUBLE) AS avg_rank FROM l""")
 def avg_ranks(spark, d):
     """Ranks with ties averaged, by way of counts per distinct score."""
-    rows = activities(spark, d).where("line = 1").select("pmid", "person", "score")
+    rows = activities(spark, d).select("pmid", "person", "score")
     return average_ranks(rows, "score").select("pmid", "person", F.col("avg_rank").cast("double"))
 
 
