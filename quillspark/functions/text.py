@@ -25,6 +25,20 @@ BACKGROUND = (
 )
 
 
+#: Before and after a run of ASCII word signs. Java's own \b also counts other letters as word signs, and not in every version.
+START, END = r"(?<!\w)", r"(?!\w)"
+
+
+def plain_lower(c: Column) -> Column:
+    """Lower case sign by sign: as many signs as before, and no final sigma."""
+    return F.lower(F.translate(c, "İΣ", "iσ"))
+
+
+def round_four(c: Column) -> Column:
+    """A double times 10,000 to the next whole number, halves up, and back: its binary value decides a tie, not its decimals."""
+    return F.round(c * 10_000) / 10_000
+
+
 def norm_name(c: Column) -> Column:
     """Lower case, runs of other signs to one blank, trimmed."""
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
@@ -87,16 +101,17 @@ def has_phrase(text: Column, phrase: Column) -> Column:
 
 def first_fraction(snippet: Column, form: Column) -> Column:
     """Where the form first stands, as a share of the snippet; 1 if nowhere."""
-    at = F.call_function("instr", F.lower(snippet), form)
+    at = F.call_function("instr", plain_lower(snippet), form)
     return F.when(at > 0, (at - 1) / F.greatest(F.lit(1), F.length(snippet))).otherwise(1.0)
 
 
 def informativeness(snippet: Column, form: Column) -> Column:
     """0.4, up for verbs of use, constructs and an early mention, down for background phrases; clamped, four places."""
-    low = F.lower(snippet)
-    use = low.rlike(r"\b(?:" + "|".join(USE_VERBS) + r")\b")
+    low = plain_lower(snippet)
+    use = low.rlike(START + "(?:" + "|".join(USE_VERBS) + ")" + END)
     background = low.rlike("|".join(p.replace("-", "[-]") for p in BACKGROUND))
-    construct = snippet.rlike(r"\b(?:[A-Za-z]+\d[A-Za-z0-9.\-]*|[A-Z]{2,}\d*)\b")
-    central = F.round(1 - first_fraction(snippet, form), 4)
+    # what follows a point or hyphen doesn't matter: the part before it is a construct already
+    construct = snippet.rlike(START + r"(?:[A-Za-z]+\d[A-Za-z0-9]*|[A-Z]{2,}\d*)" + END)
+    central = round_four(1 - first_fraction(snippet, form))
     total = 0.4 + F.when(use, 0.35).otherwise(0.0) + F.when(construct, 0.15).otherwise(0.0) + 0.10 * central - F.when(background, 0.40).otherwise(0.0)
-    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)), 4)
+    return round_four(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))

@@ -182,8 +182,8 @@ WITH b AS (SELECT item_id, text AS s, lower(split_part(text, ' ', 4)) AS f FROM
 SELECT item_id, CASE WHEN instr(lower(s), f) > 0 THEN instr(lower(s), f) - 1 END AS start, CASE WHEN instr(lower(s), f) > 0 THEN instr(lower(s), f) - 1 + length(f) END AS stop, round(1 - CASE WHEN instr(lower(s), f) > 0 THEN (instr(lower(s), f) - 1) / length(s) ELSE 1.0 END, 4) AS centrality FROM b""")
 def matched_span(spark, d):
     """Where a name stands in its sentence, and how early."""
-    b = table(spark, d, "benchmark").select("item_id", F.col("text").alias("s"), F.lower(F.split_part("text", F.lit(" "), F.lit(4))).alias("f"))
-    at = F.call_function("instr", F.lower("s"), F.col("f"))
+    b = table(spark, d, "benchmark").select("item_id", F.col("text").alias("s"), T.plain_lower(F.split_part("text", F.lit(" "), F.lit(4))).alias("f"))
+    at = F.call_function("instr", T.plain_lower(F.col("s")), F.col("f"))
     return b.select("item_id", F.when(at > 0, at - 1).alias("start"), F.when(at > 0, at - 1 + F.length("f")).alias("stop"), F.round(1 - T.first_fraction(F.col("s"), F.col("f")), 4).alias("centrality"))
 
 

@@ -131,7 +131,7 @@ SELECT item_id, round(greatest(0.0, least(1.0, 0.4 + CASE WHEN regexp_matches(lo
 def informativeness(spark, d):
     """How specifically a sentence uses what it names."""
     tail = F.when(F.col("item_id") % 3 == 0, " cells were transfected").when(F.col("item_id") % 3 == 1, " is widely used").otherwise(" in Nav1.3")
-    b = table(spark, d, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(3))).alias("f"), F.concat("text", tail).alias("s"))
+    b = table(spark, d, "benchmark").select("item_id", T.plain_lower(F.split_part("text", F.lit(" "), F.lit(3))).alias("f"), F.concat("text", tail).alias("s"))
     return b.select("item_id", T.informativeness(F.col("s"), F.col("f")).alias("score"))
 
 

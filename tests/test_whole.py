@@ -4,8 +4,11 @@ import math
 import re
 from collections import Counter, defaultdict
 
-from quillspark.plans.catalogue import QUERIES
+import duckdb
+
+from quillspark.plans.catalogue import ORACLES, QUERIES
 from quillspark.plans.views import activities
+from tests.oracle import both
 
 SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -116,3 +119,13 @@ def test_all_due_items(spark):
     want = {r["event_id"]: due(r) for r in event_rows(spark, LARGER).collect()}
     got = {r["event_id"]: r["priority"] for r in QUERIES["due_items"](spark, LARGER).collect()}
     assert len(got) > 2500 and got == {k: p for k, p in want.items() if p is not None}
+
+
+def test_informativeness_of_other_letters_and_ties(spark, tmp_path):
+    texts = ["mañas ADN5ñ ñTPñ", "ñ incubatedñ x", "İİİ a form İ", "οδ a ΟΔΟΣ", "a b", "", None, "x" * 637 + " y zz " + "ñ" * 9, "WHO ii iii", "ñx9_ b c", "one two three a1.ñ"]
+    rows = [(i, t) for i, t in enumerate([t for t in texts for _ in range(3)])] + [(200 + n, f"{'w' * n} u zz") for n in range(300, 700)]
+    spark.createDataFrame(rows, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM '{tmp_path}/benchmark.parquet/*.parquet'")
+    mine, theirs = both(QUERIES["informativeness"], ORACLES["informativeness"], spark, con, str(tmp_path))
+    assert mine == theirs
