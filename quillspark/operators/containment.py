@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +27,13 @@ def containing(texts: DataFrame, tid: str, text: str, phrases: DataFrame, pid: s
     sizes = sorted(r["_g"] for r in anchored.select("_g").distinct().collect())  # at most ANCHOR rows
     out = None
     if sizes:
-        own = F.split(text, " ")
-        run = lambda g: F.when(F.size(own) >= g, F.transform(F.sequence(F.lit(1), F.size(own) - g + 1), lambda i: F.struct(F.lit(g).alias("_g"), F.xxhash64(F.array_join(F.slice(own, i, F.lit(g)), " ")).alias("_h"))))
-        runs = F.array_distinct(F.flatten(F.array_compact(F.array(*[run(g) for g in sizes]))))
-        hits = texts.select(tid, text, F.explode(runs).alias("_r")).select(tid, text, "_r._g", "_r._h").join(small(anchored), ["_g", "_h"])
+        # split once a text, as a variable of the lambda: a split inside the inner one would be done again at every word
+        run = lambda own, g: F.when(F.size(own) >= g, F.transform(F.sequence(F.lit(1), F.size(own) - g + 1), lambda i: F.xxhash64(F.array_join(F.slice(own, i, F.lit(g)), " "))))
+        runs = F.element_at(F.transform(F.array(F.split(text, " ")), lambda own: F.array(*[F.array_distinct(run(own, g)) for g in sizes])), 1)
+        # in a step of its own, so that the words' rows are made and joined by generated code, without copies of the text
+        dealt = texts.where(F.col(text).isNotNull()).select(tid, text, runs.alias("_runs"))
+        keyed = [dealt.select(tid, text, F.lit(g).alias("_g"), F.explode(F.col("_runs")[k]).alias("_h")) for k, g in enumerate(sizes)]
+        hits = reduce(DataFrame.unionByName, keyed).join(small(anchored), ["_g", "_h"])
         # two phrases may share an anchor, but a text has each run once
         out = hits.where(F.col(text).contains(F.col(phrase))).select(tid, pid)
     short = phrases.where(inner <= 0)

@@ -1,5 +1,7 @@
 """Rules of merges, identity, versions and reviews on small fixtures; fits and covers against plain twins."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -188,3 +190,12 @@ def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError):
         shared_dir(make("spark://host:7077"))
     assert shared_dir(make("local[4]")).startswith("file:/")
+
+
+def test_long_texts_are_split_once(spark):
+    words = " ".join(f"w{k * 7919 % 10007}" for k in range(60_000))
+    t = spark.createDataFrame([(0, words), (1, "a " + " ".join(words.split(" ")[500:520])), (2, None)], "tid int, x string")
+    p = spark.createDataFrame([(0, " ".join(words.split(" ")[505:511])), (1, "x y z v w u")], "pid int, t string")
+    began = time.monotonic()
+    assert sorted((r["tid"], r["pid"]) for r in containment.containing(t, "tid", "x", p, "pid", "t").collect()) == [(0, 0), (1, 0)]
+    assert time.monotonic() - began < 30
