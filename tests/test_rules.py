@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.operators import containment, fitting, gates, overlap, ranking
+from quillspark.operators import containment, fitting, gates, overlap, ranking, vectors
 from quillspark.operators.registry import match_or_mint
 from quillspark.plans import stats
 from quillspark.plans.catalogue import QUERIES
@@ -199,3 +199,24 @@ def test_long_texts_are_split_once(spark):
     began = time.monotonic()
     assert sorted((r["tid"], r["pid"]) for r in containment.containing(t, "tid", "x", p, "pid", "t").collect()) == [(0, 0), (1, 0)]
     assert time.monotonic() - began < 30
+
+
+def test_forest_joins_what_all_pairs_join(spark):
+    x = np.random.default_rng(3).normal(size=(300, 8)).round(2)
+    x[0] = 0
+    x[1] = 0
+    x[40:60] = x[39]
+    rows = [(i, i % 2 if i != 45 else None, x[i].tolist()) for i in range(300)] + [(900, 0, None)]
+    v = spark.createDataFrame(rows, "id long, g int, v array<float>")
+    for least in (0.6, 0.97):
+        root = list(range(300))
+        for i in range(300):
+            for j in range(i):
+                a, b = x[i].astype(np.float32).astype(float), x[j].astype(np.float32).astype(float)
+                if i % 2 == j % 2 and 45 not in (i, j) and a.any() and b.any() and a @ b / np.sqrt((a @ a) * (b @ b)) >= least and root[i] != root[j]:
+                    lo, hi = sorted((root[i], root[j]))
+                    root = [lo if r == hi else r for r in root]
+        want = {i: r for i, r in enumerate(root) if root.count(r) > 1}
+        for block, pivots in ((1_000, 100), (20, 5)):
+            edges = vectors.alike_forest(v, "id", "v", "g", least, block, pivots)
+            assert {r["node"]: r["component"] for r in overlap.components(edges).collect()} == want
